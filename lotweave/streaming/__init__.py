@@ -1,0 +1 @@
+"""No streaming operators: every job here is a batch refresh of whole tables."""
