@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lotweave.functions.geometry import map_vertices, point
+from lotweave.functions.geometry import let, map_vertices, point
 
 MERCATOR_RADIUS = 6378137.0
 SEMI_MAJOR = 6378137.0
@@ -73,11 +73,18 @@ def degrees_to_mercator(v: Column) -> Column:
 
 def degrees_to_albers(v: Column) -> Column:
     k = albers_constants()
-    s = F.sin(v["y"] * (math.pi / 180))
-    q = (1 - E2) * (s / (1 - E2 * s * s) - F.log((1 - ECC * s) / (1 + ECC * s)) / (2 * ECC))
-    rho = SEMI_MAJOR * F.sqrt(k["c"] - k["n"] * q) / k["n"]
-    theta = k["n"] * (v["x"] - ALBERS_5070["lon0"]) * (math.pi / 180)
-    return point(rho * F.sin(theta), k["rho0"] - rho * F.cos(theta))
+
+    def polar(s):
+        q = (1 - E2) * (s / (1 - E2 * s * s) - F.log((1 - ECC * s) / (1 + ECC * s)) / (2 * ECC))
+        return F.struct(
+            (SEMI_MAJOR * F.sqrt(k["c"] - k["n"] * q) / k["n"]).alias("rho"),
+            (k["n"] * (v["x"] - ALBERS_5070["lon0"]) * (math.pi / 180)).alias("theta"),
+        )
+
+    return let(
+        let(F.sin(v["y"] * (math.pi / 180)), polar),
+        lambda p: point(p["rho"] * F.sin(p["theta"]), k["rho0"] - p["rho"] * F.cos(p["theta"])),
+    )
 
 
 def albers_to_degrees(v: Column) -> Column:
@@ -86,15 +93,18 @@ def albers_to_degrees(v: Column) -> Column:
     rho = F.hypot(v["x"], dy)
     theta = F.atan2(v["x"], dy)
     q = (k["c"] - (rho * k["n"] / SEMI_MAJOR) * (rho * k["n"] / SEMI_MAJOR)) / k["n"]
-    beta = F.asin(q / _q(math.pi / 2))
     e4, e6 = E2 * E2, E2 * E2 * E2
-    phi = (
-        beta
-        + (E2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040) * F.sin(2 * beta)
-        + (23 * e4 / 360 + 251 * e6 / 3780) * F.sin(4 * beta)
-        + (761 * e6 / 45360) * F.sin(6 * beta)
-    )
-    return point(ALBERS_5070["lon0"] + theta / k["n"] * (180 / math.pi), phi * (180 / math.pi))
+
+    def latitude(beta):
+        phi = (
+            beta
+            + (E2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040) * F.sin(2 * beta)
+            + (23 * e4 / 360 + 251 * e6 / 3780) * F.sin(4 * beta)
+            + (761 * e6 / 45360) * F.sin(6 * beta)
+        )
+        return point(ALBERS_5070["lon0"] + theta / k["n"] * (180 / math.pi), phi * (180 / math.pi))
+
+    return let(F.asin(q / _q(math.pi / 2)), latitude)
 
 
 def degrees_to_lambert_feet(v: Column) -> Column:
@@ -112,17 +122,20 @@ def lambert_feet_to_degrees(v: Column) -> Column:
     dx = v["x"] * FOOT - p["x0"]
     dy = k["rho0"] - v["y"] * FOOT
     t = F.pow(F.hypot(dx, dy) / (SEMI_MAJOR * k["f"]), F.lit(1 / k["n"]))
-    chi = math.pi / 2 - 2 * F.atan(t)
     e4, e6, e8 = E2**2, E2**3, E2**4
-    phi = (
-        chi
-        + (E2 / 2 + 5 * e4 / 24 + e6 / 12 + 13 * e8 / 360) * F.sin(2 * chi)
-        + (7 * e4 / 48 + 29 * e6 / 240 + 811 * e8 / 11520) * F.sin(4 * chi)
-        + (7 * e6 / 120 + 81 * e8 / 1120) * F.sin(6 * chi)
-        + (4279 * e8 / 161280) * F.sin(8 * chi)
-    )
     lon = p["lon0"] + F.atan2(dx, dy) / k["n"] * (180 / math.pi)
-    return point(lon, phi * (180 / math.pi))
+
+    def latitude(chi):
+        phi = (
+            chi
+            + (E2 / 2 + 5 * e4 / 24 + e6 / 12 + 13 * e8 / 360) * F.sin(2 * chi)
+            + (7 * e4 / 48 + 29 * e6 / 240 + 811 * e8 / 11520) * F.sin(4 * chi)
+            + (7 * e6 / 120 + 81 * e8 / 1120) * F.sin(6 * chi)
+            + (4279 * e8 / 161280) * F.sin(8 * chi)
+        )
+        return point(lon, phi * (180 / math.pi))
+
+    return let(math.pi / 2 - 2 * F.atan(t), latitude)
 
 
 _TO_DEGREES = {3857: mercator_to_degrees, 4326: lambda v: v, 5070: albers_to_degrees}
@@ -138,7 +151,9 @@ def reproject_point(v: Column, source: int, target: int) -> Column:
     for srid in (source, target):
         if srid not in _TO_DEGREES:
             raise ValueError(f"unsupported SRID {srid}; known: {sorted(_TO_DEGREES)}")
-    return _FROM_DEGREES[target](_TO_DEGREES[source](v))
+    if 4326 in (source, target):
+        return let(v, _TO_DEGREES[source] if target == 4326 else _FROM_DEGREES[target])
+    return let(let(v, _TO_DEGREES[source]), _FROM_DEGREES[target])
 
 
 def reproject(geom: Column, source: int, target: int) -> Column:

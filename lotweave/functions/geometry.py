@@ -259,7 +259,8 @@ def crossing_count(edge_list: Column, x: Column, y: Column) -> Column:
 def contains_point(geom: Column, x: Column, y: Column) -> Column:
     """Point inside or on the boundary of the geometry (even-odd over all rings)."""
 
-    def test(segs):
+    def test(given):
+        segs, x, y = given["segs"], given["x"], given["y"]
         on_edge = F.exists(
             segs,
             lambda e: ((e["x2"] - e["x1"]) * (y - e["y1"]) == (e["y2"] - e["y1"]) * (x - e["x1"]))
@@ -268,7 +269,7 @@ def contains_point(geom: Column, x: Column, y: Column) -> Column:
         )
         return on_edge | (crossing_count(segs, x, y) % 2 == 1)
 
-    return let(edges(geom), test)
+    return let(F.struct(edges(geom).alias("segs"), x.alias("x"), y.alias("y")), test)
 
 
 def _edges_near(geom: Column, box: Column) -> Column:
@@ -286,13 +287,18 @@ def _edges_near(geom: Column, box: Column) -> Column:
 
 def intersects(a: Column, b: Column) -> Column:
     """Exact polygon/polygon test; a shared boundary point counts."""
-    crossing = let(
-        F.struct(_edges_near(a, bbox(b)).alias("a"), _edges_near(b, bbox(a)).alias("b")),
-        lambda near: F.exists(near["a"], lambda e: F.exists(near["b"], lambda f: segments_meet(e, f))),
-    )
-    a_in_b = F.exists(a, lambda part: contains_point(b, part[0][0]["x"], part[0][0]["y"]))
-    b_in_a = F.exists(b, lambda part: contains_point(a, part[0][0]["x"], part[0][0]["y"]))
-    return F.coalesce(crossing | a_in_b | b_in_a, F.lit(False))
+
+    def test(pair):
+        p, q = pair["p"], pair["q"]
+        crossing = let(
+            F.struct(_edges_near(p, bbox(q)).alias("p"), _edges_near(q, bbox(p)).alias("q")),
+            lambda near: F.exists(near["p"], lambda e: F.exists(near["q"], lambda f: segments_meet(e, f))),
+        )
+        p_in_q = F.exists(p, lambda part: contains_point(q, part[0][0]["x"], part[0][0]["y"]))
+        q_in_p = F.exists(q, lambda part: contains_point(p, part[0][0]["x"], part[0][0]["y"]))
+        return F.coalesce(crossing | p_in_q | q_in_p, F.lit(False))
+
+    return let(F.struct(a.alias("p"), b.alias("q")), test)
 
 
 def oriented(geom: Column) -> Column:
@@ -369,9 +375,13 @@ def overlap_area(a: Column, b: Column) -> Column:
             lambda acc, e: acc + F.aggregate(sides["b"], F.lit(0.0), lambda part, f: part + below_both(e, f)),
         )
 
-    frame = let(F.struct(bbox(a).alias("p"), bbox(b).alias("q")), window)
-    sides = let(frame, lambda w: F.struct(spans(a, w).alias("a"), spans(b, w).alias("b")))
-    return F.greatest(let(sides, total), F.lit(0.0))
+    def measure(pair):
+        p, q = pair["p"], pair["q"]
+        frame = let(F.struct(bbox(p).alias("p"), bbox(q).alias("q")), window)
+        sides = let(frame, lambda w: F.struct(spans(p, w).alias("a"), spans(q, w).alias("b")))
+        return F.greatest(let(sides, total), F.lit(0.0))
+
+    return let(F.struct(a.alias("p"), b.alias("q")), measure)
 
 
 def _clip_ring(ring: Column, axis: str, limit: Column, keep_less: bool) -> Column:
@@ -412,10 +422,18 @@ def clip_to_box(geom: Column, minx: Column, miny: Column, maxx: Column, maxy: Co
     box border. They enclose nothing: area, overlap and union cancel them.
     """
 
-    def clip(ring):
-        for axis, limit, less in (("x", maxx, True), ("x", minx, False), ("y", maxy, True), ("y", miny, False)):
-            ring = _clip_ring(ring, axis, limit, less)
-        return ring
+    def clip_all(given):
+        box = given["box"]
+
+        def clip(ring):
+            for axis, limit, less in (("x", "maxx", True), ("x", "minx", False), ("y", "maxy", True), ("y", "miny", False)):
+                ring = _clip_ring(ring, axis, box[limit], less)
+            return ring
+
+        clipped = F.transform(
+            given["geom"], lambda part: F.filter(F.transform(part, clip), lambda ring: F.size(ring) >= 4)
+        )
+        return F.filter(clipped, lambda part: F.size(part) > 0)
 
-    clipped = F.transform(geom, lambda part: F.filter(F.transform(part, clip), lambda ring: F.size(ring) >= 4))
-    return F.filter(clipped, lambda part: F.size(part) > 0)
+    box = F.struct(minx.alias("minx"), miny.alias("miny"), maxx.alias("maxx"), maxy.alias("maxy"))
+    return let(F.struct(geom.alias("geom"), box.alias("box")), clip_all)

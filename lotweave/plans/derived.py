@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Narrow rows over all cores before geometry makes them expensive."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def _with_geom(df: DataFrame) -> DataFrame:
     return df.withColumn("geom", g.rectangle(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")))
 
@@ -62,7 +67,7 @@ def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
                  WHEN {plain} AND s = 1 THEN 54 WHEN m = 15 THEN 100 ELSE 20 + (id % 37) * 10 END AS h""",
     )
     return _with_geom(
-        sized.selectExpr(
+        spread(sized, "id").selectExpr(
             "id", "county", "county_fips", "orig_key", "landuse_cd", "x0", "y0", "x0 + w AS x1", "y0 + h AS y1"
         )
     )

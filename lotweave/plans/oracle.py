@@ -451,8 +451,8 @@ SELECT tx, ty, round(minx + tx * 20480, 1) AS x0, round(miny + ty * 20480, 1) AS
   round(miny + (ty + 1) * 20480, 1) AS y1
 FROM (SELECT *, unnest(range(greatest(CAST(ceil((maxy - miny) / 20480) AS BIGINT), 1))) AS ty FROM (
   SELECT *, unnest(range(greatest(CAST(ceil((maxx - minx) / 20480) AS BIGINT), 1))) AS tx FROM (
-    SELECT min(least(ax, bx, cx, dx)) AS minx, min(least(ay, by, cy, dy)) AS miny, max(greatest(ax, bx, cx, dx)) AS maxx,
-      max(greatest(ay, by, cy, dy)) AS maxy FROM corners)))""",
+    SELECT min(least(pax, pbx, pcx, pdx)) AS minx, min(least(pay, pby, pcy, pdy)) AS miny, max(greatest(pax, pbx, pcx, pdx)) AS maxx,
+      max(greatest(pay, pby, pcy, pdy)) AS maxy FROM corners)))""",
     b.COUNTY,
     b.PLACE,
     "shapes AS (SELECT x0, y0, x1, y1 FROM fx_county UNION SELECT x0, y0, x1, y1 FROM fx_place)",
@@ -463,7 +463,7 @@ FROM (SELECT *, unnest(range(greatest(CAST(ceil((maxy - miny) / 20480) AS BIGINT
 
 ENTRIES = """
 entries AS (
-  SELECT lower(r_name) AS state, lower(n_name) AS layer, n_nationkey % 4 <> 0 AS fetch, 100 * (1 + n_nationkey % 5) AS max_records,
+  SELECT lower(r_name) AS state, lower(n_name) AS layer, n_nationkey % 4 <> 0 AS fetched, 100 * (1 + n_nationkey % 5) AS max_records,
     CASE n_nationkey % 3 WHEN 0 THEN ['NAME'] WHEN 1 THEN ['NAME', 'CODE'] ELSE ['NAME', 'CODE', 'RATE'] END AS names,
     CASE n_nationkey % 3 WHEN 0 THEN ['VARCHAR(25)'] WHEN 1 THEN ['VARCHAR(25)', 'INTEGER'] ELSE ['VARCHAR(25)', 'INTEGER', 'DECIMAL(6,2)'] END AS types
   FROM nation JOIN region ON n_regionkey = r_regionkey)"""
@@ -487,7 +487,7 @@ SELECT 'layer' || (user_id % 7) AS layer, count(*) AS total_batches,
   max(1 + user_id % 5 + CASE WHEN event_type = 'error' THEN 5 ELSE 0 END) AS most_attempts
 FROM events GROUP BY 1""",
 )
-add("layer_catalog", "SELECT layer FROM entries WHERE fetch UNION SELECT 'soil' UNION SELECT 'elevation'", ENTRIES)
+add("layer_catalog", "SELECT layer FROM entries WHERE fetched UNION SELECT 'soil' UNION SELECT 'elevation'", ENTRIES)
 add(
     "state_catalog",
     "SELECT state, string_agg(layer, ',' ORDER BY layer) AS layers, count(*) AS n_layers FROM entries GROUP BY state",

@@ -76,17 +76,17 @@ def _albers_corner(x: str, y: str, name: str) -> str:
 def albers_corners(source: str, target: str) -> str:
     """CTE adding the four projected corners (a lower left, then counter-clockwise)."""
     corners = ", ".join(
-        _albers_corner(x, y, n) for n, x, y in (("a", "x0", "y0"), ("b", "x1", "y0"), ("c", "x1", "y1"), ("d", "x0", "y1"))
+        _albers_corner(x, y, n) for n, x, y in (("pa", "x0", "y0"), ("pb", "x1", "y0"), ("pc", "x1", "y1"), ("pd", "x0", "y1"))
     )
     return f"{target} AS (SELECT *, {corners} FROM {source})"
 
 
 ALBERS_AREA = (
-    "abs((bx - ax) * (cy - ay) - (cx - ax) * (by - ay) + (cx - ax) * (dy - ay) - (dx - ax) * (cy - ay)) / 2"
+    "abs((pbx - pax) * (pcy - pay) - (pcx - pax) * (pby - pay) + (pcx - pax) * (pdy - pay) - (pdx - pax) * (pcy - pay)) / 2"
 )
 ALBERS_PERIMETER = (
-    "sqrt((bx - ax) ** 2 + (by - ay) ** 2) + sqrt((cx - bx) ** 2 + (cy - by) ** 2)"
-    " + sqrt((dx - cx) ** 2 + (dy - cy) ** 2) + sqrt((ax - dx) ** 2 + (ay - dy) ** 2)"
+    "sqrt((pbx - pax) ** 2 + (pby - pay) ** 2) + sqrt((pcx - pbx) ** 2 + (pcy - pby) ** 2)"
+    " + sqrt((pdx - pcx) ** 2 + (pdy - pcy) ** 2) + sqrt((pax - pdx) ** 2 + (pay - pdy) ** 2)"
 )
 
 
@@ -143,7 +143,7 @@ MEASURED = ",\n".join(
     [
         PARCELS,
         albers_corners("fx_parcels", "fx_corners"),
-        f"fx_areas AS (SELECT * EXCLUDE (ax, ay, bx, by, cx, cy, dx, dy), {ALBERS_AREA} AS area_sqm, {ALBERS_PERIMETER} AS perimeter FROM fx_corners)",
+        f"fx_areas AS (SELECT * EXCLUDE (pax, pay, pbx, pby, pcx, pcy, pdx, pdy), {ALBERS_AREA} AS area_sqm, {ALBERS_PERIMETER} AS perimeter FROM fx_corners)",
         box_geohash_cte("fx_areas", "fx_measured"),
     ]
 )

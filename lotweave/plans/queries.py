@@ -392,7 +392,7 @@ def dedupe_report(spark, sf):
 @query
 def clean_taxlots(spark, sf):
     """The finished parcel table of the cleaning run."""
-    final = tx.clean_parcels(_oregon_raw(spark, sf), c.OREGON, distance_srid=3857).final
+    final = tx.clean_parcels(_oregon_raw(spark, sf), c.OREGON, distance_srid=3857, merge_srid=3857).final
     return final.select("county", "maptaxlot", "geohash11", F.round(g.area(F.col("geom")), 3).alias("planar_area"))
 
 
