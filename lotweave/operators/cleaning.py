@@ -17,6 +17,7 @@ from lotweave.functions import geometry as g
 from lotweave.functions import text
 from lotweave.functions.crs import reproject
 from lotweave.functions.geohash import geohash_box, geohash_centroid
+from lotweave.functions.reuse import built_once
 
 
 @dataclass(frozen=True)
@@ -42,13 +43,23 @@ UNIQUE_STRIP_LIMIT = 0.03  # stricter limit for parcels with a key of their own
 LARGE_PARCEL = 10_000_000.0  # square metres
 
 
+@built_once
+def _measures(srid: int, area_srid: int, length: int) -> tuple[Column, ...]:
+    flat = F.col("_flat")
+    return (
+        reproject(F.col("geom"), srid, area_srid),
+        g.area(flat),
+        g.perimeter(flat),
+        geohash_box(F.col("geom"), length, srid),
+    )
+
+
 def measured(df: DataFrame, srid: int = 3857, area_srid: int = 5070, geohash_length: int = 11) -> DataFrame:
     """Add ``area_sqm``, ``perimeter`` and ``geohash11`` in one pass over the vertices."""
-    flat = df.withColumn("_flat", reproject(F.col("geom"), srid, area_srid))
+    flat, area, perimeter, geohash = _measures(srid, area_srid, geohash_length)
     return (
-        flat.withColumn("area_sqm", g.area(F.col("_flat")))
-        .withColumn("perimeter", g.perimeter(F.col("_flat")))
-        .withColumn("geohash11", geohash_box(F.col("geom"), geohash_length, srid))
+        df.withColumn("_flat", flat)
+        .withColumns({"area_sqm": area, "perimeter": perimeter, "geohash11": geohash})
         .drop("_flat")
     )
 

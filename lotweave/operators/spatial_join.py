@@ -14,18 +14,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotweave.functions import geometry as g
+from lotweave.functions.reuse import built_once
 
 DEFAULT_CELL = 2500.0
 
 
+@built_once
+def _box_of(geom: str) -> Column:
+    return g.bbox(F.col(geom))
+
+
+@built_once
+def _shape_unless_rectangle(geom: str) -> Column:
+    return F.when(~g.is_rectangle(F.col(geom)), F.col(geom))
+
+
 def with_box(df: DataFrame, side: str, keep: Sequence[str], geom: str = "geom") -> DataFrame:
     """Kept columns, bounding box and - for anything but a rectangle - the shape."""
-    boxed = df.select(*keep, F.col(geom).alias(f"{side}_geom"), g.bbox(F.col(geom)).alias(f"{side}_box"))
-    return boxed.select(
-        *keep,
-        f"{side}_box",
-        F.when(~g.is_rectangle(F.col(f"{side}_geom")), F.col(f"{side}_geom")).alias(f"{side}_shape"),
-    )
+    boxed = df.select(*keep, F.col(geom).alias(f"{side}_geom"), _box_of(geom).alias(f"{side}_box"))
+    return boxed.select(*keep, f"{side}_box", _shape_unless_rectangle(f"{side}_geom").alias(f"{side}_shape"))
 
 
 def cover_cells(df: DataFrame, box: str, cell: float) -> DataFrame:
@@ -65,6 +72,12 @@ def _both_rectangles() -> Column:
     return F.col("l_shape").isNull() & F.col("r_shape").isNull()
 
 
+@built_once
+def _pair_intersects() -> Column:
+    return _both_rectangles() | g.intersects(_shape("l"), _shape("r"))
+
+
+@built_once
 def shared_area() -> Column:
     """Overlap of the current pair: four subtractions for rectangles, exact sum otherwise."""
     width = F.least("l_box.maxx", "r_box.maxx") - F.greatest("l_box.minx", "r_box.minx")
@@ -94,12 +107,17 @@ def spatial_pairs(
     pairs = (
         lefts.join(rights, ["cx", "cy"])
         .where(_boxes_meet() & _first_shared_cell(cell))
-        .where(_both_rectangles() | g.intersects(_shape("l"), _shape("r")))
+        .where(_pair_intersects())
     )
     extra = [shared_area().alias(overlap)] if overlap else []
     return pairs.select(*left_keep, *right_keep, *extra)
 
 
+@built_once
+def _point_inside() -> Column:
+    return F.col("r_shape").isNull() | g.contains_point(F.col("r_shape"), F.col("l_x"), F.col("l_y"))
+
+
 def points_in_polygons(
     points: DataFrame,
     polygons: DataFrame,
@@ -124,6 +142,6 @@ def points_in_polygons(
             F.col("l_x").between(F.col("r_box.minx"), F.col("r_box.maxx"))
             & F.col("l_y").between(F.col("r_box.miny"), F.col("r_box.maxy"))
         )
-        .where(F.col("r_shape").isNull() | g.contains_point(F.col("r_shape"), F.col("l_x"), F.col("l_y")))
+        .where(_point_inside())
         .select(*point_keep, *polygon_keep)
     )

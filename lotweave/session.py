@@ -18,6 +18,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "lot
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # expressions here have many nodes; recording a Python call site for each costs more than the job
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
