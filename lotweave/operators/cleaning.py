@@ -8,6 +8,7 @@ the join.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +18,7 @@ from lotweave.functions import geometry as g
 from lotweave.functions import text
 from lotweave.functions.crs import reproject
 from lotweave.functions.geohash import geohash_box, geohash_centroid
-from lotweave.functions.reuse import built_once
+from lotweave.functions.reuse import built_once, with_computed
 
 
 @dataclass(frozen=True)
@@ -45,23 +46,18 @@ LARGE_PARCEL = 10_000_000.0  # square metres
 
 @built_once
 def _measures(srid: int, area_srid: int, length: int) -> tuple[Column, ...]:
-    flat = F.col("_flat")
-    return (
+    sizes = g.let(
         reproject(F.col("geom"), srid, area_srid),
-        g.area(flat),
-        g.perimeter(flat),
-        geohash_box(F.col("geom"), length, srid),
+        lambda flat: F.struct(g.area(flat).alias("area_sqm"), g.perimeter(flat).alias("perimeter")),
     )
+    return sizes, geohash_box(F.col("geom"), length, srid)
 
 
 def measured(df: DataFrame, srid: int = 3857, area_srid: int = 5070, geohash_length: int = 11) -> DataFrame:
     """Add ``area_sqm``, ``perimeter`` and ``geohash11`` in one pass over the vertices."""
-    flat, area, perimeter, geohash = _measures(srid, area_srid, geohash_length)
-    return (
-        df.withColumn("_flat", flat)
-        .withColumns({"area_sqm": area, "perimeter": perimeter, "geohash11": geohash})
-        .drop("_flat")
-    )
+    sizes, geohash = _measures(srid, area_srid, geohash_length)
+    added = with_computed(df, {"_size": sizes, "geohash11": geohash})
+    return added.select(*df.columns, "_size.area_sqm", "_size.perimeter", "geohash11")
 
 
 def oregon_excluded(key: Column, area: Column, perimeter: Column) -> Column:
@@ -126,9 +122,20 @@ def key_counts(df: DataFrame, key: str = "maptaxlot") -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("key_rows"))
 
 
-def unique_keys(df: DataFrame, key: str = "maptaxlot") -> DataFrame:
-    """Rows whose key occurs once; NULL keys never match."""
-    return df.join(key_counts(df, key).where("key_rows = 1").select(key), key, "left_semi")
+def unique_rows(df: DataFrame, carried: Sequence[str] = (), key: str = "maptaxlot", row_id: str = "id") -> DataFrame:
+    """Id, key and carried narrow columns of rows whose key occurs once, in one pass.
+
+    A key with many rows shrinks to one partial row per input partition, so no
+    join and no window is needed.
+    """
+    lone = F.min(F.struct(row_id, *carried)).alias("lone")
+    sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"), lone)
+    return sizes.where("n = 1").select("lone.*", key)
+
+
+def unique_keys(df: DataFrame, key: str = "maptaxlot", row_id: str = "id") -> DataFrame:
+    """Whole rows whose key occurs once; NULL keys never match."""
+    return df.join(unique_rows(df, (), key, row_id).select(row_id), row_id, "left_semi")
 
 
 def duplicate_keys(df: DataFrame, key: str = "maptaxlot") -> DataFrame:
@@ -136,14 +143,22 @@ def duplicate_keys(df: DataFrame, key: str = "maptaxlot") -> DataFrame:
     return df.join(key_counts(df, key).where("key_rows > 1").select(key), key, "left_semi")
 
 
-def drop_repeated_geohash(unique: DataFrame, key: str = "maptaxlot", geohash: str = "geohash11") -> DataFrame:
-    """Keep the lowest key per geohash (missing geohashes form one group).
+def drop_repeated_geohash(
+    unique: DataFrame, key: str = "maptaxlot", geohash: str = "geohash11", row_id: str = "id"
+) -> DataFrame:
+    """Id, key and geohash of the lowest key per geohash (missing geohashes form one group).
 
-    Keys are unique here, so the survivors are a set of keys found by a partial
-    aggregation, and no geometry takes part in the grouping.
+    Takes and returns narrow rows: two aggregations with partial combination
+    find the survivors, and no geometry takes part.
     """
-    lowest = unique.groupBy(geohash).agg(F.min(key).alias(key)).select(key)
-    return unique.join(lowest, key, "left_semi")
+    lowest = unique.groupBy(geohash).agg(F.min(F.struct(key, row_id)).alias("kept"))
+    return lowest.select(f"kept.{row_id}", f"kept.{key}", geohash)
+
+
+def unique_parcels(cleaned: DataFrame) -> DataFrame:
+    """Whole rows with a key of their own, one per geohash."""
+    kept = drop_repeated_geohash(unique_rows(cleaned, ["geohash11"]))
+    return cleaned.join(kept.select("id"), "id", "left_semi")
 
 
 def drop_thin(df: DataFrame, limit: float = UNIQUE_STRIP_LIMIT) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotweave.functions import geometry as g
-from lotweave.functions.reuse import built_once
+from lotweave.functions.reuse import built_once, with_computed
 
 DEFAULT_CELL = 2500.0
 
@@ -31,8 +31,8 @@ def _shape_unless_rectangle(geom: str) -> Column:
 
 def with_box(df: DataFrame, side: str, keep: Sequence[str], geom: str = "geom") -> DataFrame:
     """Kept columns, bounding box and - for anything but a rectangle - the shape."""
-    boxed = df.select(*keep, F.col(geom).alias(f"{side}_geom"), _box_of(geom).alias(f"{side}_box"))
-    return boxed.select(*keep, f"{side}_box", _shape_unless_rectangle(f"{side}_geom").alias(f"{side}_shape"))
+    columns = {f"{side}_box": _box_of(geom), f"{side}_shape": _shape_unless_rectangle(geom)}
+    return with_computed(df.select(*dict.fromkeys([*keep, geom])), columns).select(*keep, *columns)
 
 
 def cover_cells(df: DataFrame, box: str, cell: float) -> DataFrame:

@@ -22,6 +22,7 @@ from lotweave.plans import counties as cty
 from lotweave.plans import derived as d
 from lotweave.plans import layers as lay
 from lotweave.plans import taxlots as tx
+from lotweave.session import durable
 from lotweave.sources import catalog, export, features, pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,7 +110,7 @@ def key_suffix_wa(spark, sf):
 
 @query
 def unique_keys(spark, sf):
-    return c.unique_keys(_oregon_clean(spark, sf)).select("id", "maptaxlot")
+    return c.unique_rows(_oregon_clean(spark, sf)).select("id", "maptaxlot")
 
 
 @query
@@ -119,7 +120,7 @@ def duplicate_keys(spark, sf):
 
 @query
 def geohash_dedupe(spark, sf):
-    return c.drop_repeated_geohash(c.unique_keys(_oregon_clean(spark, sf))).select("id", "maptaxlot", "geohash11")
+    return c.drop_repeated_geohash(c.unique_rows(_oregon_clean(spark, sf), ["geohash11"]))
 
 
 @query
@@ -351,7 +352,8 @@ def county_union(spark, sf):
 
 def _clusters(spark, sf):
     """Planar distances, so that the result has a closed form."""
-    return cluster_within(c.duplicate_keys(_oregon_clean(spark, sf)), distance_srid=3857)
+    cleaned = durable(_oregon_clean(spark, sf))
+    return cluster_within(c.duplicate_keys(cleaned), distance_srid=3857)
 
 
 @query
