@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lotweave.functions.crs import reproject
 from lotweave.functions.text import normalise_state_name
 from lotweave.operators import cleaning as c
 from lotweave.operators import soil, zonal
@@ -207,10 +208,16 @@ def clean(ws: Workspace, state: str, overwrite: bool = False) -> DataFrame:
     return run.report()
 
 
-def update_elevation(ws: Workspace, state: str, raster: DataFrame, grid: zonal.Grid, done: DataFrame | None = None) -> DataFrame:
-    """Zonal rows after computing only new or changed parcels; ``done`` is the earlier result."""
+def update_elevation(
+    ws: Workspace, state: str, raster: DataFrame, grid: zonal.Grid, done: DataFrame | None = None, grid_srid: int = 5070
+) -> DataFrame:
+    """Zonal rows after computing only new or changed parcels; ``done`` is the earlier result.
+
+    Parcels are moved to the raster's reference system first.
+    """
     full = normalise_state_name(state)
     parcels = ws.staging(full, "taxlots_post").select("maptaxlot", "geohash11", "area_sqm", "geom")
     todo = pending_zonal(parcels, done, ZONAL_MIN_AREA) if done is not None else parcels.where(F.col("area_sqm") > ZONAL_MIN_AREA)
+    todo = todo.withColumn("geom", reproject(F.col("geom"), 3857, grid_srid))
     fresh = zonal.parcel_statistics(todo, raster, grid, ["maptaxlot", "geohash11", "area_sqm"])
     return replace_by_key(done, fresh, "maptaxlot") if done is not None else fresh
