@@ -12,7 +12,9 @@ from lotweave.functions.crs import reproject
 from lotweave.functions.text import normalise_state_name
 from lotweave.operators import cleaning as c
 from lotweave.operators import soil, zonal
+from lotweave.operators.dissolve import subdivide
 from lotweave.operators.maintenance import pending_zonal, replace_by_key
+from lotweave.operators.spatial_join import DEFAULT_CELL
 from lotweave.plans import counties, layers, taxlots
 from lotweave.sources import catalog, features, pages, vector
 from lotweave.workspace import Workspace
@@ -92,8 +94,9 @@ def _layers(ws: Workspace, state: str) -> dict:
     def layer(name: str, *fields: str):
         df = ws.staging(state, name)
         renamed = df.select(*[F.col(f).alias(f.lower()) for f in fields], "geom")
-        order = F.xxhash64(*[F.col(f.lower()) for f in fields], F.col("geom"))
-        return renamed.withColumn("fid", order), "fid", [f.lower() for f in fields]
+        lowered = [f.lower() for f in fields]
+        tagged = renamed.withColumn("fid", F.xxhash64(*lowered, "geom"))
+        return subdivide(tagged, ["fid", *lowered], DEFAULT_CELL), "fid", lowered
 
     if state == "washington":
         return {
@@ -110,6 +113,12 @@ def _layers(ws: Workspace, state: str) -> dict:
     }
 
 
+def parcel_shapes(ws: Workspace, state: str) -> DataFrame:
+    """Outlines of the cleaned parcels; an outline too large for one row comes in pieces."""
+    whole = ws.staging(state, "taxlots_post").where(F.col("geom").isNotNull()).select("maptaxlot", "geom")
+    return whole.unionByName(ws.staging(state, "taxlots_post_pieces").select("maptaxlot", "geom"))
+
+
 APP_TAXLOT = (
     "odf_fpd string, agency string, orzdesc string, huc12 string, name string, min_elevation double, "
     "max_elevation double, legal_label string, county string, source string, map_id string, map_taxlot string, "
@@ -122,10 +131,11 @@ def _build_taxlots(ws: Workspace, state: str) -> str:
     table = f"{state}_app_taxlot"
     current = ws.app_table(table)
     app = current.drop("id") if current is not None else ws.spark.createDataFrame([], APP_TAXLOT)
-    parcels = ws.staging(state, "taxlots_post").withColumn("id", F.xxhash64("maptaxlot"))
+    parcels = ws.staging(state, "taxlots_post")
     landuse = ws.staging(state, "landuse").select(F.col("LANDUSE_CD").alias("landuse_cd"), F.col("DESCR").alias("descr")) if state == "washington" else None
     fresh = taxlots.refresh_application(
-        app, parcels, ws.staging(state, "elevation"), ws.staging(state, "ppa"), _layers(ws, state), rules, landuse
+        app, parcels, ws.staging(state, "elevation"), ws.staging(state, "ppa"), _layers(ws, state), rules, landuse,
+        shapes=parcel_shapes(ws, state),
     )
     return ws.write_app_table(fresh, table, ["map_taxlot"])
 
@@ -218,6 +228,7 @@ def update_elevation(
     full = normalise_state_name(state)
     parcels = ws.staging(full, "taxlots_post").select("maptaxlot", "geohash11", "area_sqm", "geom")
     todo = pending_zonal(parcels, done, ZONAL_MIN_AREA) if done is not None else parcels.where(F.col("area_sqm") > ZONAL_MIN_AREA)
+    todo = todo.drop("geom").join(parcel_shapes(ws, full), "maptaxlot")
     todo = todo.withColumn("geom", reproject(F.col("geom"), 3857, grid_srid))
     fresh = zonal.parcel_statistics(todo, raster, grid, ["maptaxlot", "geohash11", "area_sqm"])
     return replace_by_key(done, fresh, "maptaxlot") if done is not None else fresh

@@ -4,6 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotweave import api
+from lotweave.functions import geometry as g
+from lotweave.functions.crs import reproject
+from lotweave.operators import zonal
 from lotweave.sources import catalog, export
 from lotweave.workspace import Workspace
 from tests.shapes import as_geom, square
@@ -152,6 +155,7 @@ def test_clean_build_and_refresh(spark, ws):
     changed.count()
     moved = Workspace(spark, ws.root + "2")
     moved.write_staging(changed, "oregon", "taxlots_post")
+    moved.write_staging(ws.staging("oregon", "taxlots_post_pieces"), "oregon", "taxlots_post_pieces")
     moved.write_staging(stats.where("maptaxlot <> 'p2'").withColumn("min_elev", F.lit(1)), "oregon", "elevation")
     for layer in ("ppa", "huc", "plss", "fpd", "sfd", "zoning"):
         moved.write_staging(ws.staging("oregon", layer), "oregon", layer)
@@ -160,6 +164,13 @@ def test_clean_build_and_refresh(spark, ws):
     second = moved.app_table("oregon_app_taxlot")
     assert second.count() == 4 and {r.min_elevation for r in second.collect()} == {1.0}
     assert first.join(second, "id").count() == 4
+    spot = changed.select(g.bbox(reproject(F.col("geom"), 3857, 5070)).alias("b")).agg(F.min("b.minx"), F.min("b.miny"), F.max("b.maxx"), F.max("b.maxy")).first()
+    grid = zonal.Grid(spot[0], spot[1], 10.0, 50, -9999.0)
+    ones = F.array_repeat(F.lit(1.0).cast("float"), 50)
+    strips = spark.range(int((spot[3] - spot[1]) / 10 + 1)).select(F.col("id").alias("row_no"), F.explode(F.sequence(F.lit(0), F.lit(int((spot[2] - spot[0]) / 500 + 1)))).alias("strip_no"), ones.alias("elevation"), ones.alias("cover"))
+    zones = api.update_elevation(ws, "OR", strips, grid)
+    assert zones.count() == 5 and zones.where("forest_pix <> total_pix OR min_elev <> 1").isEmpty()
+    assert api.update_elevation(ws, "OR", strips, grid, zones).count() == 5
     api.build(ws, "populationpoint", "OR")
     assert ws.app_table("oregon_app_populationpoint").first().place_fips == 12
 

@@ -7,7 +7,7 @@ from lotweave.functions import geometry as g
 from lotweave.functions import text
 from lotweave.operators import cleaning as c
 from lotweave.operators.cluster import cluster_within, components_across_cluster
-from lotweave.operators.dissolve import cell_pieces, dissolve
+from lotweave.operators.dissolve import cell_pieces, dissolve, subdivide
 from lotweave.operators.overlap import largest_overlap, overlay_pairs
 from lotweave.operators.spatial_join import spatial_pairs
 from lotweave.operators.zonal import Grid, class_histogram, parcel_statistics
@@ -42,6 +42,20 @@ def test_spatial_pairs_match_brute_force(spark):
         assert areas.get(key, 0.0) == pytest.approx(area, abs=1e-3)
 
 
+def test_subdivided_features_give_the_same_overlaps(spark):
+    rng = random.Random(21)
+    comb = [[[(0, 0), (60, 0), (60, 40), (50, 40), (50, 5), (35, 5), (35, 40), (25, 40), (25, 5), (10, 5), (10, 40), (0, 40), (0, 0)]]]
+    parcels = frame(spark, [(i, as_geom(triangle(rng, 50))) for i in range(60)])
+    features = frame(spark, [(1, as_geom(comb)), (2, as_geom(square(5, 5, 30)))], f"fid long, geom {KIND}")
+    plain = largest_overlap(parcels, features, "id", "fid", [], cell=10.0)
+    cut = subdivide(features, ["fid"], 7.0, max_vertices=6)
+    pieces = largest_overlap(parcels, cut, "id", "fid", [], cell=10.0, in_pieces=True)
+    a, b = ({r.id: r for r in df.collect()} for df in (plain, pieces))
+    assert cut.where("fid = 1").count() > 20 and set(a) == set(b)
+    for k in a:
+        assert a[k].fid == b[k].fid and a[k].overlap_area == pytest.approx(b[k].overlap_area, abs=1e-3)
+
+
 def test_spatial_plan_is_an_equi_join(spark):
     rows = [(i, as_geom(square(i, i))) for i in range(5)]
     df = frame(spark, rows)
