@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotweave.llm import quality, urlrules
+from lotweave.llm import packing, quality, urlrules
 
 URL_RULES = [
     ("com", "/", "allow"),
@@ -33,6 +33,21 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*wanted, F.round("log_perplexity", 4).alias("log_perplexity"))
 
 
+def vocabulary() -> dict[str, str]:
+    """The public vocabulary as both of its files, and its splitting pattern."""
+    import public_tokenizers as public
+
+    return {
+        "vocabulary": public.path("byte_bpe_50k.json"),
+        "ranks": public.path("byte_bpe_50k.tiktoken"),
+        "pattern": public.PATTERN,
+    }
+
+
+def op6_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), **vocabulary())
+
+
 OP3_SQL = """
 WITH rules(host, path, verdict) AS (
   VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
@@ -57,6 +72,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM bes
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_rules": op3_url_rules,
     "op5_quality_rules": op5_quality_rules,
+    "op6_mixture_packing": op6_mixture_packing,
 }
 
 ORACLES: dict[str, str] = {"op3_url_rules": OP3_SQL}
