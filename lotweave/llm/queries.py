@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotweave.llm import packing, quality, urlrules
+from lotweave.llm import packing, quality, toxicity, urlrules
 
 URL_RULES = [
     ("com", "/", "allow"),
@@ -48,6 +48,10 @@ def op6_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), **vocabulary())
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 OP3_SQL = """
 WITH rules(host, path, verdict) AS (
   VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_rules": op3_url_rules,
     "op5_quality_rules": op5_quality_rules,
     "op6_mixture_packing": op6_mixture_packing,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLES: dict[str, str] = {"op3_url_rules": OP3_SQL}
