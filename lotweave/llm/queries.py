@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotweave.llm import packing, quality, toxicity, urlrules
+from lotweave.llm import lmscore, packing, quality, toxicity, urlrules
 
 URL_RULES = [
     ("com", "/", "allow"),
@@ -22,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    return lmscore.score(table(spark, sf_dir, "documents"), good)
+
+
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urlrules.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
@@ -74,6 +79,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM bes
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_score": op1_lm_score,
     "op3_url_rules": op3_url_rules,
     "op5_quality_rules": op5_quality_rules,
     "op6_mixture_packing": op6_mixture_packing,
