@@ -94,7 +94,8 @@ def score(docs: DataFrame, target: DataFrame, key: str = "doc_id") -> DataFrame:
     spark = docs.sparkSession
     ship_package(spark)
     marked = target.select(key).dropna().distinct().withColumn("is_target", F.lit(True))
-    train = docs.select(key, "text").join(marked, key, "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
+    # the marks grow with the corpus, so they are never broadcast
+    train = docs.select(key, "text").hint("merge").join(marked, key, "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
     sent = spark.sparkContext.broadcast(tables(count(train)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

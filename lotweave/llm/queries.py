@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotweave.llm import lmscore, packing, quality, toxicity, urlrules
+from lotweave.llm import decontaminate, lmscore, packing, quality, toxicity, urlrules
 
 URL_RULES = [
     ("com", "/", "allow"),
@@ -32,6 +32,10 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
     wanted = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -81,6 +85,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM bes
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op3_url_rules": op3_url_rules,
+    "op4_decontaminate": op4_decontaminate,
     "op5_quality_rules": op5_quality_rules,
     "op6_mixture_packing": op6_mixture_packing,
     "op8_toxicity": op8_toxicity,

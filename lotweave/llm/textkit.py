@@ -153,3 +153,34 @@ def per_row(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of ``values`` between consecutive offsets."""
     sums = np.concatenate(([0], np.cumsum(values)))
     return sums[offsets[1:]] - sums[offsets[:-1]]
+
+
+#: ASCII bytes that are neither letters, digits nor blanks.
+PUNCTUATION = np.zeros(256, dtype=bool)
+PUNCTUATION[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
+
+
+def strip_edges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """Move both ends of each span over punctuation, at most ``rounds`` bytes a side."""
+    for _ in range(rounds):
+        starts = starts + ((starts < ends) & PUNCTUATION[data[np.minimum(starts, len(data) - 1)]])
+        ends = ends - ((starts < ends) & PUNCTUATION[data[ends - 1]])
+    return starts, ends
+
+
+class Slots:
+    """A fixed-size bitmap of hashed keys: no key that was added is ever missed."""
+
+    def __init__(self, bits: int):
+        self.bits = bits
+        self.words = np.zeros(1 << (bits - 3), dtype=np.uint8)
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def set_places(self, places: np.ndarray) -> None:
+        np.bitwise_or.at(self.words, places >> 3, np.left_shift(1, places & 7).astype(np.uint8))
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        at = self.places(keys)
+        return (self.words[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
