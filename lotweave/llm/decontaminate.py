@@ -1,7 +1,7 @@
 """Benchmark decontamination by canonical templates.
 
-Both sides are cut into words, freed of punctuation at their ends and lower-cased. Numbers,
-names (capitals inside a sentence) and units (behind a number) become typed placeholders, so a
+Both sides are cut into words, freed of punctuation at their ends and lower-cased (ASCII and
+Latin-1). Numbers, names (one capital at the front, inside a sentence) and units (behind a number) become typed placeholders, so a
 question with other numbers or names keeps its template. Windows of ``WINDOW`` template words
 are hashed and joined. A window counts only if half of it or more is literal.
 
@@ -76,11 +76,13 @@ def templates(piece: tk.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not len(starts):
         none = np.zeros(0, np.uint64)
         return none, none, bounds
-    words = tk.word_hashes(tk.LOWER[data], starts, ends)
-    head = data[starts]
-    second = data[np.minimum(starts + 1, len(data) - 1)]
-    number = (head >= 48) & (head <= 57)
-    capital = ((head >= 65) & (head <= 90)) | ((head == 0xC3) & (second >= 0x80) & (second <= 0x9E))
+    small = tk.lower(data)
+    words = tk.word_hashes(small, starts, ends)
+    number = (data[starts] >= 48) & (data[starts] <= 57)
+    changed = np.concatenate(([0], np.cumsum(small != data)))
+    inner = starts + np.where(data[starts] >= 0xC0, 2, 1)  # behind the first letter
+    inner = np.minimum(inner, ends)
+    capital = (changed[inner] > changed[starts]) & (changed[ends] == changed[inner]) & (ends > inner)
     after_number = np.concatenate(([False], number[:-1]))
     place = np.minimum(np.searchsorted(_UNIT_HASHES, words), len(_UNIT_HASHES) - 1)
     unit = after_number & (_UNIT_HASHES[place] == words) & ~number

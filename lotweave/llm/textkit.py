@@ -22,6 +22,17 @@ BLANK[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+
+
+def lower(data: np.ndarray) -> np.ndarray:
+    """Lower case for A-Z and the letters of Latin-1 (two bytes, the first 0xC3)."""
+    out = LOWER[data]
+    if len(data) > 1:
+        tail = data[1:]
+        out[1:] += ((data[:-1] == 0xC3) & (tail >= 0x80) & (tail <= 0x9E) & (tail != 0x97)).astype(np.uint8) * np.uint8(32)
+    return out
+
+
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _BASE_INVERSE = _U(pow(int(_BASE), -1, 1 << 64))
