@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotweave.llm import textkit as tk
+from lotweave.llm.spread import slot_bitmap
 from lotweave.session import durable, ship_package
 
 WINDOW = 8
@@ -128,20 +129,6 @@ def _rows(key: str, sizes: list[int], kept=None, whole: bool = False):
     return run
 
 
-def _places(docs: DataFrame) -> tk.Slots:
-    """Bitmap of the hashes in a column; at most ``2**BITS / 32`` words reach the driver."""
-    words = (
-        docs.select(F.shiftrightunsigned("hash", 64 - BITS).alias("place"))
-        .selectExpr("cast(shiftright(place, 5) AS int) AS w", "shiftleft(1L, cast(pmod(place, 32) AS int)) AS b")
-        .groupBy("w")
-        .agg(F.bit_or("b").alias("b"))
-        .toPandas()
-    )
-    out = tk.Slots(BITS)
-    out.words.view("<u4")[words.w.to_numpy(np.int64)] = words.b.to_numpy(np.int64).astype(np.uint32)
-    return out
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, key: str = "doc_id", item: str = "item_id") -> DataFrame:
     """(key, item, matched, item_windows, coverage): every document with every item it contains."""
     spark = docs.sparkSession
@@ -151,7 +138,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, key:
     sizes = list(range(3, WINDOW + 1))
     probes = durable(benchmark.select(item, "text").mapInArrow(_rows(item, sizes, whole=True), f"`{item}` {item_kind}, {fields}"))
     short = [r.n for r in probes.select(F.size("values").alias("n")).distinct().collect()]
-    kept = spark.sparkContext.broadcast(_places(probes))
+    kept = spark.sparkContext.broadcast(slot_bitmap(probes, "hash", BITS))
     found = docs.select(key, "text").mapInArrow(_rows(key, sorted(short), kept), f"`{key}` {key_kind}, {fields}")
 
     col = F.col

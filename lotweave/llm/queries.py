@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotweave.llm import decontaminate, lmscore, packing, quality, toxicity, urlrules
+from lotweave.llm import decontaminate, jaccard, lmscore, packing, quality, toxicity, urlrules
 
 URL_RULES = [
     ("com", "/", "allow"),
@@ -57,6 +57,10 @@ def op6_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), **vocabulary())
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": op4_decontaminate,
     "op5_quality_rules": op5_quality_rules,
     "op6_mixture_packing": op6_mixture_packing,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_toxicity": op8_toxicity,
 }
 
