@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotweave.llm import decontaminate, jaccard, linededup, lmscore, packing, quality, toxicity, urlrules
+from lotweave.llm import decontaminate, htmltext, jaccard, linededup, lmscore, packing, quality, toxicity, urlrules
 
 URL_RULES = [
     ("com", "/", "allow"),
@@ -27,6 +27,10 @@ def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.score(table(spark, sf_dir, "documents"), good)
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urlrules.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
@@ -92,6 +96,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM bes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
+    "op2_html_text": op2_html_text,
     "op3_url_rules": op3_url_rules,
     "op4_decontaminate": op4_decontaminate,
     "op5_quality_rules": op5_quality_rules,
