@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotweave.llm import decontaminate, htmltext, jaccard, linededup, lmscore, packing, quality, toxicity, urlrules
+from lotweave.llm import decontaminate, htmltext, jaccard, linededup, lmscore, packing, quality, suffixdedup, toxicity, urlrules
 
 URL_RULES = [
     ("com", "/", "allow"),
@@ -69,6 +69,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.repeats(table(spark, sf_dir, "documents"))
 
@@ -103,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mixture_packing": op6_mixture_packing,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_toxicity": op8_toxicity,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
 

@@ -41,6 +41,9 @@ def pack(keys: np.ndarray, columns: list[np.ndarray], ranges: int) -> Iterator[p
         parts = []
         for c in columns:
             v = c[own]
+            if v.dtype.kind == "V":  # text compresses as it stands
+                parts.append(v.tobytes())
+                continue
             if v.dtype == np.int64:  # numbers that grow: differences compress
                 v = np.diff(v, prepend=np.int64(0))
             parts.append(np.ascontiguousarray(v).view(np.uint8).reshape(len(own), -1).T.tobytes())
@@ -61,6 +64,10 @@ def unpack(group: pa.Table, dtypes: list[np.dtype]) -> list[np.ndarray]:
         for k, dtype in enumerate(dtypes):
             dtype = np.dtype(dtype)
             size = n * dtype.itemsize
+            if dtype.kind == "V":
+                out[k].append(raw[at : at + size].view(dtype))
+                at += size
+                continue
             v = np.ascontiguousarray(raw[at : at + size].reshape(dtype.itemsize, n).T).view(dtype).ravel()
             out[k].append(np.cumsum(v) if dtype == np.int64 else v)
             at += size

@@ -36,7 +36,7 @@ def lower(data: np.ndarray) -> np.ndarray:
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _BASE_INVERSE = _U(pow(int(_BASE), -1, 1 << 64))
-_BYTES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
+BYTES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -48,15 +48,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
-_powers: dict[str, np.ndarray] = {}
+_powers: dict[bool, np.ndarray] = {}
 
 
-def _power(kind: str, n: int) -> np.ndarray:
-    have = _powers.get(kind)
+def power(n: int, down: bool = False) -> np.ndarray:
+    """Powers 0 to ``n - 1`` of the base of the hash, or of its inverse."""
+    have = _powers.get(down)
     if have is None or len(have) < n:
-        step = np.full(max(n, PIECE + 1), _BASE if kind == "up" else _BASE_INVERSE, dtype=np.uint64)
+        step = np.full(max(n, PIECE + 1024), _BASE_INVERSE if down else _BASE, dtype=np.uint64)
         step[0] = 1
-        have = _powers[kind] = np.cumprod(step, dtype=np.uint64)
+        have = _powers[down] = np.cumprod(step, dtype=np.uint64)
     return have[:n]
 
 
@@ -64,12 +65,12 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
     """``c`` such that ``(c[e] - c[s]) * up^-s`` identifies ``data[s:e]``."""
     sums = np.empty(len(data) + 1, dtype=np.uint64)
     sums[0] = 0
-    np.cumsum(_BYTES[data] * _power("up", len(data)), out=sums[1:])
+    np.cumsum(BYTES[data] * power(len(data)), out=sums[1:])
     return sums
 
 
 def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return mix((sums[ends] - sums[starts]) * _power("down", len(sums))[starts])
+    return mix((sums[ends] - sums[starts]) * power(len(sums), down=True)[starts])
 
 
 @dataclass
