@@ -1,17 +1,18 @@
 """N-gram Jaccard join: all pairs of documents whose word shingles overlap enough, as components.
 
 1. Documents with the same shingle set form one class (128-bit fingerprints); only its smallest
-   id goes on, so a group of copies of any size costs one row each.
-2. Shingles are ordered by how many documents share their slot of a fixed-size sketch, then by
-   hash. Two sets that reach the threshold share one of their first ``n - ceil(t n) + 1``
-   shingles in this order (prefix filter), so nothing is lost while common passages stay out.
-3. Tiles. First, documents with an equal minimum hash and size band meet the most typical one of
-   their tile only; what links becomes a component. Then tiles of documents with a common
-   prefix shingle and neighbouring size bands give the pairs that lie in different components.
-   Pairs inside a component need no test: they change nothing.
+   id goes on, so a group of copies of any size costs one row.
+2. Size-banded tiles. Sets that link lie in the same or in neighbouring size bands, and differ in
+   at most ``D`` shingles, a bound that follows from the band. With the shingles dealt into more
+   than ``D`` parts by hash, two such sets agree on whole parts, so documents that agree on a part
+   form a tile and no link is lost. Agreement on a part is rare otherwise, whatever is common
+   in the corpus.
+3. First, documents with an equal minimum hash meet the one with the smallest id; what
+   links becomes a component. Then tiles are compared, but only pairs in different components:
+   others change nothing. Tiles of more than ``TILE`` documents are cut into blocks.
 4. A pair's hashed bitmaps bound its overlap from above: a bit set in one and not in the other
-   is a shingle that only one has. Pairs that may still reach the threshold have their texts
-   joined and their sorted shingle arrays intersected.
+   is a shingle that only one has. Tiles are compared by bit counts inside a task; only pairs that
+   may still link leave it, have their texts joined and their sorted shingle arrays intersected.
 
 Defined cases: null or empty text has no shingles and links with nothing; a text of fewer words
 than a shingle is one shingle; rows with the same id are one node; null ids are left alone;
@@ -20,6 +21,7 @@ an empty table gives no rows; further columns are not carried.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -33,6 +35,8 @@ from lotweave.llm import textkit as tk
 from lotweave.session import durable, ship_package
 
 HASHES = 4
+SPARE = 2
+TILE = 1024
 _SEEDS = tk.mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -54,9 +58,43 @@ def least_overlap(sizes: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * sizes // (100 + percent))
 
 
-def band(n: np.ndarray, percent: int) -> np.ndarray:
-    """Sets that can link lie in the same band or in neighbouring ones."""
-    return np.floor(np.log(np.maximum(n, 1)) / -math.log(percent / 100) + 1e-9).astype(np.int64)
+def band(n: int, percent: int) -> int:
+    return math.floor(math.log(max(n, 1)) / -math.log(percent / 100) + 1e-9)
+
+
+@functools.cache
+def parts_of(level: int, percent: int) -> int:
+    """Parts for pairs whose smaller set is of band ``level``: ``SPARE`` more than it takes to agree on one; 0 if only equal sets link."""
+    grow = 100 / percent
+    most = math.floor(grow ** (level + 1)) + math.floor(grow ** (level + 2))
+    differ = most * (100 - percent) // (100 + percent)
+    return differ + 1 + SPARE if differ else 0
+
+
+def part_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of the parts of a set, for pairs with its own band and with the one below.
+
+    Empty parts say nothing. Pairs agree on more than ``SPARE`` parts, so a set with no more empty
+    ones than that can do without them; another gives keys for them, too.
+    """
+    out = []
+    own = band(len(shingles), percent)
+    mixed = tk.mix(shingles ^ _SEEDS[1])
+    for level in (own, own - 1):
+        parts = parts_of(level, percent) if level >= 0 else 0
+        if not parts:
+            continue
+        part = (mixed >> np.uint64(32)) % np.uint64(parts)
+        order = np.argsort(part, kind="stable")
+        begins = np.flatnonzero(np.concatenate(([True], np.diff(part[order]) > 0)))
+        sums = np.add.reduceat(mixed[order], begins)
+        full = part[order][begins]
+        salt = np.uint64(level) * np.uint64(0xA24BAED4963EE407)
+        out.append(tk.mix(sums + full * np.uint64(0x9E3779B97F4A7C15) + salt))
+        if parts - len(full) > SPARE:
+            empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), full)
+            out.append(tk.mix(empty * np.uint64(0x9E3779B97F4A7C15) + salt))
+    return np.concatenate(out) if out else shingles[:0]
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
@@ -78,59 +116,32 @@ def may_link(na: int, nb: int, a: bytes, b: bytes, percent: int) -> bool:
     return most >= int(least_overlap(np.int64(na + nb), percent))
 
 
-def _sketch(docs: DataFrame, size: int, bits: int) -> np.ndarray:
-    """Documents' shingles by slot, over the whole input."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << bits, dtype=np.int64)
-        for batch in batches:
-            for piece in tk.slices(batch.column(0)):
-                every = np.concatenate(list(shingle_sets(piece, size)))
-                total += np.bincount((every >> np.uint64(64 - bits)).astype(np.int64), minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["slot", "n"])
-
-    rows = docs.select("text").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(1 << bits, dtype=np.int64)
-    out[rows.slot.to_numpy()] = rows.n.to_numpy()
-    return out
-
-
-def _features(docs: DataFrame, key: str, size: int, percent: int, bits: int) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(_sketch(docs, size, bits))
-    names = [key, "n", "f1", "f2", "typical", "minima", "prefix", "bits"]
+def _features(docs: DataFrame, key: str, size: int, percent: int) -> DataFrame:
+    names = [key, "n", "f1", "f2", "minima", "parts", "bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in tk.slices(batch.column(1)):
-                n, f1, f2, typical, minima, prefix, maps = ([] for _ in range(7))
+                n, f1, f2, minima, parts, maps = ([] for _ in range(6))
                 for own in shingle_sets(piece, size):
                     n.append(len(own))
                     f1.append(tk.mix(own).sum(dtype=np.uint64)), f2.append(tk.mix(own ^ _SEEDS[0]).sum(dtype=np.uint64))
-                    if not len(own):
-                        typical.append(0), minima.append(own), prefix.append(own), maps.append(b"")
-                        continue
-                    often = sent.value[(own >> np.uint64(64 - bits)).astype(np.int64)]
-                    typical.append(int(often.mean() * 1000))
-                    minima.append(tk.mix(own[None, :] ^ _SEEDS[:, None]).min(axis=1))
-                    first = len(own) - -(-percent * len(own) // 100) + 1
-                    if first < len(own):
-                        rank = np.lexsort((own, often))[:first]
-                        prefix.append(own[rank])
+                    if len(own):
+                        minima.append(tk.mix(own[None, :] ^ _SEEDS[:, None]).min(axis=1))
+                        parts.append(part_keys(own, percent)), maps.append(bitmap(own))
                     else:
-                        prefix.append(own)
-                    maps.append(bitmap(own))
+                        minima.append(own), parts.append(own), maps.append(b"")
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(piece.first, piece.rows), pa.array(n, pa.int64()),
                         pa.array(tk.signed(np.array(f1, np.uint64))), pa.array(tk.signed(np.array(f2, np.uint64))),
-                        pa.array(typical, pa.int64()), _lists(minima), _lists(prefix), pa.array(maps, pa.binary()),
+                        _lists(minima), _lists(parts), pa.array(maps, pa.binary()),
                     ],
                     names,
                 )
 
     kind = docs.schema[key].dataType.simpleString()
-    fields = f"`{key}` {kind}, n long, f1 long, f2 long, typical long, minima array<long>, prefix array<long>, bits binary"
+    fields = f"`{key}` {kind}, n long, f1 long, f2 long, minima array<long>, parts array<long>, bits binary"
     return docs.select(key, "text").mapInArrow(run, fields)
 
 
@@ -139,8 +150,8 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(tk.signed(np.concatenate(parts).astype(np.uint64))))
 
 
-def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, key: str, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: bitmaps first, then texts."""
+def _bounded(reps: DataFrame, pairs: DataFrame, key: str, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and bitmaps allow."""
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,6 +159,16 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, key: str, size
             hit = [may_link(*row, percent) for row in zip(na, nb, xa, xb)]
             yield batch.select([0, 1]).filter(pa.array(hit, pa.bool_()))
 
+    slim = reps.select(key, "n", "bits")
+    left = slim.select(F.col(key).alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
+    right = slim.select(F.col(key).alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
+    close = pairs.join(left, "a").join(right, "b").where(f"100 * na >= {percent} * nb AND 100 * nb >= {percent} * na")
+    return close.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(bound, "a long, b long")
+
+
+def _linked(docs: DataFrame, close: DataFrame, key: str, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose shingle sets link, by their texts."""
+
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, len(batch), 64):
@@ -157,103 +178,131 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, key: str, size
                 sizes = np.array([len(x) + len(y) for x, y in zip(*sides)])
                 yield part.select([0, 1]).filter(pa.array(common >= np.maximum(least_overlap(sizes, percent), 1)))
 
-    kind = docs.schema[key].dataType.simpleString()
-    fields = f"a {kind}, b {kind}"
-    slim = reps.select(key, "n", "bits")
-    left = slim.select(F.col(key).alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
-    right = slim.select(F.col(key).alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
-    close = pairs.join(left, "a").join(right, "b").where(f"100 * na >= {percent} * nb AND 100 * nb >= {percent} * na")
-    close = durable(close.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(bound, fields))
+    close = durable(close)
     named = close.select(F.explode(F.array("a", "b")).alias(key))
     texts = spread.only_listed(docs.sparkSession, docs, key, "text", named)
     with_a = close.join(texts.select(F.col(key).alias("a"), F.col("text").alias("ta")), "a")
     both = with_a.join(texts.select(F.col(key).alias("b"), F.col("text").alias("tb")), "b")
-    return durable(both.select("a", "b", "ta", "tb").mapInArrow(exact, fields).distinct())
+    return durable(both.select("a", "b", "ta", "tb").mapInArrow(exact, "a long, b long").distinct())
 
 
-def _tile_blocks(percent: int, ranges: int):
-    """Blocks of (shingle, document, component, size) for every prefix shingle."""
+def _part_blocks(ranges: int):
+    """Blocks of (part key, document, component)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, comp, n = (batch.column(i).to_numpy() for i in range(3))
-            lists = batch.column(3)
-            counts = np.diff(lists.offsets.to_numpy())
+            doc, comp = (batch.column(i).to_numpy() for i in range(2))
+            lists = batch.column(2)
+            row = np.repeat(np.arange(len(batch)), np.diff(lists.offsets.to_numpy()))
             values = lists.flatten().to_numpy().view(np.uint64)
-            row = np.repeat(np.arange(len(batch)), counts)
             for a in range(0, len(values), spread.FLUSH):
                 own, r = values[a : a + spread.FLUSH], row[a : a + spread.FLUSH]
                 low = (own & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-                yield from spread.pack(own, [low, doc[r], comp[r], n[r].astype(np.uint32)], ranges)
+                yield from spread.pack(own, [low, doc[r], comp[r]], ranges)
 
     return run
 
 
-def _tile_pairs(percent: int, block: int = 1024):
-    """Pairs of documents of a range that share a shingle, fit in size and lie in different components."""
+def _tile_members(group: pa.Table) -> pa.Table:
+    """(tile, members, place, document, component) of every tile that spans components."""
+    low, doc, comp = spread.unpack(group, [np.uint32, np.int64, np.int64])
+    order = np.lexsort((doc, low))
+    low, doc, comp = low[order], doc[order], comp[order]
+    begins = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1]))) if len(low) else np.zeros(0, np.int64)
+    if not len(begins):
+        begins, sizes, spans = begins, begins, np.zeros(0, bool)
+    else:
+        sizes = np.diff(np.append(begins, len(low)))
+        spans = np.minimum.reduceat(comp, begins) != np.maximum.reduceat(comp, begins)
+    keep = np.repeat(spans, sizes)
+    place = np.arange(len(low)) - np.repeat(begins, sizes)
+    tile = np.int64(group.column("range")[0].as_py()) << np.int64(32) | low.astype(np.int64)
+    columns = (tile, np.repeat(sizes, sizes), place, doc, comp)
+    return pa.table({n: pa.array(c[keep].astype(np.int64)) for n, c in zip(("tile", "members", "place", "doc", "comp"), columns)})
+
+
+def _folded(maps: list[bytes]) -> np.ndarray:
+    """Bitmaps as rows of one width, the smallest among them."""
+    width = min(map(len, maps)) // 8
+    return np.stack([np.bitwise_or.reduce(np.frombuffer(m, dtype=np.uint64).reshape(-1, width), axis=0) for m in maps])
+
+
+def _compare(percent: int, step: int = 128):
+    """Pairs of a bucket's tiles whose sizes and bitmaps allow a link, in different components."""
 
     def run(group: pa.Table) -> pa.Table:
-        low, doc, comp, n = spread.unpack(group, [np.uint32, np.int64, np.int64, np.uint32])
-        order = np.argsort(low, kind="stable")
-        low, doc, comp, n = low[order], doc[order], comp[order], n[order].astype(np.int64)
-        cuts = np.concatenate(([0], np.flatnonzero(np.diff(low)) + 1, [len(low)]))
-        several = np.flatnonzero(np.diff(cuts) > 1)
-        found_a, found_b = [], []
-        for g in several:
-            s = slice(cuts[g], cuts[g + 1])
-            if comp[s].min() == comp[s].max():
-                continue
-            by_size = np.argsort(n[s], kind="stable")
-            d, c, m = doc[s][by_size], comp[s][by_size], n[s][by_size]
-            reach = np.searchsorted(m, m * 100 // percent, side="right")  # the band of sizes that may link
-            for i in range(0, len(d), block):
-                upto = int(reach[i : i + block].max())
-                for j in range(i, upto, block):
-                    x, y = slice(i, i + block), slice(j, min(j + block, upto))
-                    fits = (c[x][:, None] != c[y]) & (np.arange(j, y.stop) < reach[x][:, None])
-                    fits &= np.arange(i, i + len(d[x]))[:, None] < np.arange(j, y.stop)
-                    p, q = np.nonzero(fits)
-                    found_a.append(d[x][p]), found_b.append(d[y][q])
-        a = np.concatenate(found_a) if found_a else np.zeros(0, np.int64)
-        b = np.concatenate(found_b) if found_b else np.zeros(0, np.int64)
-        once = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pa.array(once[:, 0]), "b": pa.array(once[:, 1])})
+        group = group.combine_chunks()
+        tile, left, right, doc, comp, n = (group.column(c).to_numpy() for c in ("tile", "left", "right", "doc", "comp", "n"))
+        block, maps = group.column("block").to_numpy(), group.column("bits").to_pylist()
+        order = np.lexsort((doc, block, right, left, tile))
+        edge = [c[order] for c in (tile, left, right)]
+        new = np.concatenate(([True], np.any([c[1:] != c[:-1] for c in edge], axis=0))) if len(order) else np.zeros(0, bool)
+        begins = np.append(np.flatnonzero(new), len(order))
+        found: list[np.ndarray] = []
+        for a, b in zip(begins[:-1], begins[1:]):
+            own = order[a:b]
+            bits = _folded([maps[i] for i in own])
+            across = left[own[0]] != right[own[0]]
+            first = np.flatnonzero(block[own] == left[own[0]]) if across else np.arange(len(own))
+            second = np.flatnonzero(block[own] == right[own[0]]) if across else first
+            for i in range(0, len(first), step):
+                x = first[i : i + step]
+                for j in range(0 if across else i, len(second), step):
+                    y = second[j : j + step]
+                    nx, ny = n[own[x]][:, None], n[own[y]][None, :]
+                    ok = (comp[own[x]][:, None] != comp[own[y]]) & (100 * nx >= percent * ny) & (100 * ny >= percent * nx)
+                    if not across:
+                        ok &= x[:, None] < y
+                    p, q = np.nonzero(ok)
+                    if not len(p):
+                        continue
+                    u, v = bits[x[p]], bits[y[q]]
+                    nu, nv = n[own[x[p]]], n[own[y[q]]]
+                    most = np.minimum(nu - np.bitwise_count(u & ~v).sum(axis=1), nv - np.bitwise_count(v & ~u).sum(axis=1))
+                    hit = most >= least_overlap(nu + nv, percent)
+                    found.append(np.stack((doc[own[x[p[hit]]]], doc[own[y[q[hit]]]]), axis=1))
+        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        pairs = np.unique(np.sort(pairs, axis=1), axis=0)
+        return pa.table({"a": pa.array(np.ascontiguousarray(pairs[:, 0])), "b": pa.array(np.ascontiguousarray(pairs[:, 1]))})
 
     return run
 
 
 def join(docs: DataFrame, size: int = 3, percent: int = 90, key: str = "doc_id") -> DataFrame:
     """(key, n_shingles, component_id) for every row of ``docs``; ``key`` is a long."""
-    spark = docs.sparkSession
-    ship_package(spark)
+    ship_package(docs.sparkSession)
     docs = docs.select(F.col(key).cast("long").alias(key), "text")
-    rows = docs.count()
-    bits = min(22, max(16, math.ceil(math.log2(rows + 1))))
-    features = durable(_features(docs, key, size, percent, bits))
+    features = durable(_features(docs, key, size, percent))
     classes = features.where("n > 0").groupBy("n", "f1", "f2").agg(F.min(key).alias("rep"))
-    best = F.max_by(F.struct("typical", "minima", "prefix", "bits"), F.lit(0))
-    reps = durable(
-        features.where(f"n > 0 AND {key} IS NOT NULL").join(classes, ["n", "f1", "f2"]).where(f"{key} = rep")
-        .groupBy(key, "n", "f1", "f2").agg(best.alias("x")).select(key, "n", "f1", "f2", "x.*")
-    )
-
-    tiles = reps.select(key, "typical", F.col("n"), F.posexplode("minima").alias("k", "m"))
-    tiles = tiles.withColumn("band", F.floor(F.log("n") / -math.log(percent / 100) + 1e-9))
-    hub = tiles.groupBy("k", "m", "band").agg(F.max(F.struct("typical", F.col(key).alias("hub"))).alias("h"), F.count("*").alias("c"))
-    near = tiles.select("k", "m", "band", key).join(hub.where("c > 1").select("k", "m", "band", "h.hub"), ["k", "m", "band"])
-    stars = near.where(f"{key} <> hub").select(F.least(key, "hub").alias("a"), F.greatest(key, "hub").alias("b")).distinct()
-    first = _verified(docs, reps, stars, key, size, percent)
-    grouped = durable(spread.components(first))
-
-    records = reps.agg(F.sum(F.size("prefix"))).first()[0] or 0
-    named = reps.select(key, "n", "prefix").join(grouped.withColumnRenamed("node", key), key, "left")
-    source = named.select(key, F.coalesce("component", key).alias("component"), "n", "prefix")
-    blocks = source.mapInArrow(_tile_blocks(percent, spread.ranges_for(records)), spread.BLOCKS)
-    pairs = spread.by_range(blocks, _tile_pairs(percent), "a long, b long").distinct()
-    second = _verified(docs, reps, pairs, key, size, percent)
+    same = ["n", "f1", "f2"]
+    leads = features.where(f"n > 0 AND {key} IS NOT NULL").select(key, *same).join(classes, same).where(f"{key} = rep")
+    leads = durable(leads.select(key, *same).distinct())
+    reps = features.join(leads, [key, *same], "left_semi").dropDuplicates([key, *same])
+
+    tiles = durable(reps.select(key, F.posexplode("minima").alias("k", "m")))
+    hub = tiles.groupBy("k", "m").agg(F.min(key).alias("hub"), F.max(key).alias("last")).where("hub < last").drop("last")
+    stars = tiles.join(hub, ["k", "m"]).where(f"{key} <> hub").select(F.col("hub").alias("a"), F.col(key).alias("b")).distinct()
+    first = _linked(docs, _bounded(reps, stars, key, percent), key, size, percent)
+    grouped = spread.components(first)
+
+    named = leads.select(key).distinct().join(grouped.withColumnRenamed("node", key), key, "left")
+    named = named.select(key, F.coalesce("component", key).alias("comp"))
+    source = reps.select(key, "parts").join(named, key).select(key, "comp", "parts")
+    records = features.agg(F.sum(F.size("parts"))).first()[0] or 0
+    blocks = source.mapInArrow(_part_blocks(spread.ranges_for(records)), spread.BLOCKS)
+    members = durable(spread.by_range(blocks, _tile_members, "tile long, members long, place long, doc long, comp long"))
+    cuts = F.ceil(F.col("members") / TILE)
+    other = F.explode(F.sequence(F.lit(0).cast("long"), cuts - 1)).alias("other")
+    dealt = members.withColumn("block", F.pmod("place", cuts)).select("*", other)
+    dealt = dealt.select("tile", "doc", "comp", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"))
+    buckets = max(1, members.count() // 40_000)
+    bucket = F.pmod(F.xxhash64("tile", "left", "right"), F.lit(buckets)).alias("bucket")
+    held = dealt.join(reps.select(F.col(key).alias("doc"), "n", "bits"), "doc").select("*", bucket)
+    pairs = held.groupBy("bucket").applyInArrow(_compare(percent), "a long, b long").distinct()
+    second = _linked(docs, pairs, key, size, percent)
     merged = spread.components(first.unionByName(second)).withColumnRenamed("node", "rep")
 
-    placed = features.join(classes, ["n", "f1", "f2"], "left").join(merged, "rep", "left")
+    placed = features.select(key, *same).join(classes, same, "left").join(merged, "rep", "left")
     return placed.select(key, F.col("n").alias("n_shingles"), F.coalesce("component", "rep", key).alias("component_id"))
 
 
