@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from lotweave.llm import textkit as tk
 from lotweave.session import durable
 
-RANGE = 1 << 19
-FLUSH = 1 << 20
+RANGE = 1 << 18
+FLUSH = 1 << 18
 BLOCKS = "range long, records long, block binary"
 
 

@@ -39,6 +39,7 @@ from lotweave.session import durable, ship_package
 
 SEED = 24
 HOT = 1024
+PART = 1 << 18
 SETTLED, ASK, ASK_HOT = 0, 1, 2
 _PRIME = np.uint64(0xA24BAED4963EE407)
 
@@ -60,9 +61,9 @@ def anchors(piece: tk.Slice, length: int) -> Iterator[tuple[np.ndarray, np.ndarr
     width = length - SEED + 1
     reach = length - SEED
     last = -1
-    for base in range(0, len(data), tk.PIECE):
+    for base in range(0, len(data), PART):
         low = max(0, base - reach)
-        high = min(len(data), base + tk.PIECE + 2 * length)
+        high = min(len(data), base + PART + 2 * length)
         part = data[low:high]
         if len(part) < length:
             continue
@@ -71,7 +72,7 @@ def anchors(piece: tk.Slice, length: int) -> Iterator[tuple[np.ndarray, np.ndarr
         if len(starts) < width:
             continue
         seeds = tk.span_hashes(sums, starts, starts + SEED)
-        best = _windows_minima(seeds >> np.uint64(32), width)[: tk.PIECE]  # one for each string of this part
+        best = _windows_minima(seeds >> np.uint64(32), width)[:PART]  # one for each string of this part
         first = base + np.arange(len(best))
         row = np.searchsorted(offsets, first, side="right") - 1
         inside = first + length <= offsets[row + 1]
