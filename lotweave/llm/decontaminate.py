@@ -133,32 +133,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, key:
     """(key, item, matched, item_windows, coverage): every document with every item it contains."""
     spark = docs.sparkSession
     ship_package(spark)
-    item_kind, key_kind = (d.schema[k].dataType.simpleString() for d, k in ((benchmark, item), (docs, key)))
+    key_kind = docs.schema[key].dataType.simpleString()
     fields = "position long, hash long, values array<long>"
-    sizes = list(range(3, WINDOW + 1))
-    probes = durable(benchmark.select(item, "text").mapInArrow(_rows(item, sizes, whole=True), f"`{item}` {item_kind}, {fields}"))
-    short = [r.n for r in probes.select(F.size("values").alias("n")).distinct().collect()]
+    named = benchmark.select(F.col(item).alias("item"), F.xxhash64("text").alias("variant"), "text")
+    once = named.select("variant", "text").dropDuplicates(["variant"])
+    probes = durable(once.mapInArrow(_rows("variant", list(range(3, WINDOW + 1)), whole=True), f"variant long, {fields}"))
+    sizes = [r.n for r in probes.select(F.size("values").alias("n")).distinct().collect()]
     kept = spark.sparkContext.broadcast(slot_bitmap(probes, "hash", BITS))
-    found = docs.select(key, "text").mapInArrow(_rows(key, sorted(short), kept), f"`{key}` {key_kind}, {fields}")
+    found = docs.select(key, "text").mapInArrow(_rows(key, sorted(sizes), kept), f"`{key}` {key_kind}, {fields}")
 
     col = F.col
-    size_of = probes.groupBy(item).agg(F.countDistinct("position").alias("item_windows"))
     pairs = found.alias("d").join(probes.alias("b"), "hash").select(
-        col(f"d.{key}"), col(f"b.{item}"), col("b.position").alias("spot"), (col("d.position") - col("b.position")).alias("shift"),
+        col(f"d.{key}"), col("b.variant"), col("b.position").alias("spot"), (col("d.position") - col("b.position")).alias("shift"),
         F.filter(F.arrays_zip(col("b.values").alias("theirs"), col("d.values").alias("ours")), lambda v: v["theirs"] != 0).alias("filled"),
     )
     # one value of the item against two of the document, within an alignment
-    facing = pairs.where(F.size("filled") > 0).select(key, item, "shift", F.inline("filled"))
-    torn = (
-        facing.groupBy(key, item, "shift", "theirs")
-        .agg(F.min("ours").alias("low"), F.max("ours").alias("high"))
-        .where("low <> high")
-        .select(key, item, "shift")
-        .distinct()
+    alignment = [key, "variant", "shift"]
+    facing = pairs.where(F.size("filled") > 0).select(*alignment, F.inline("filled"))
+    extremes = facing.groupBy(*alignment, "theirs").agg(F.min("ours").alias("low"), F.max("ours").alias("high"))
+    torn = extremes.where("low <> high").select(*alignment).distinct()
+    sound = pairs.join(torn, alignment, "left_anti")
+    matched = sound.groupBy(key, "variant").agg(F.countDistinct("spot").alias("matched"))
+    totals = probes.groupBy("variant").agg(F.countDistinct("position").alias("item_windows"))
+    judged = matched.join(totals, "variant").where(col("matched") >= share * col("item_windows"))
+    judged = judged.withColumn("coverage", F.round(col("matched") / col("item_windows"), 4))
+    by_item = judged.join(named.select("item", "variant").distinct(), "variant").groupBy(key, col("item").alias(item))
+    return by_item.agg(F.max(F.struct("coverage", "matched", "item_windows")).alias("x")).select(
+        key, item, "x.matched", "x.item_windows", "x.coverage"
     )
-    matched = pairs.join(torn, [key, item, "shift"], "left_anti").groupBy(key, item).agg(F.countDistinct("spot").alias("matched"))
-    judged = matched.join(size_of, item).withColumn("coverage", F.round(col("matched") / col("item_windows"), 4))
-    return judged.where(col("matched") >= share * col("item_windows")).select(key, item, "matched", "item_windows", "coverage")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:

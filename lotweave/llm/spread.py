@@ -9,6 +9,7 @@ and a task sorts the records of its ranges with numpy. Ranges are as many as kee
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,18 @@ FLUSH = 1 << 18
 BLOCKS = "range long, records long, block binary"
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for the jobs that run inside, so that long texts do not pile up."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def ranges_for(records: float) -> int:
     return max(1, int(-(-records // RANGE)))
 

@@ -361,7 +361,8 @@ def dedup(docs: DataFrame, length: int = 50, key: str = "doc_id", with_text: boo
     if repeated:  # of rows with one id the longest text is compared
         longest = known.join(twice, key, "left_semi").groupBy(key).agg(F.max(F.struct(F.octet_length("text").alias("n"), "text")).alias("x"))
         single = known.join(twice, key, "left_anti").unionByName(longest.select(key, "x.text"))
-    found = durable(marks(single, key, length))
+    with spread.batches_of(spark, 1000):
+        found = durable(marks(single, key, length))
     fields = "doc long, h long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
 
     listed = spark.sparkContext.broadcast(spread.slot_bitmap(found.select(F.xxhash64("doc").alias("h")), "h", 24))

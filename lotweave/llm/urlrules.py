@@ -118,7 +118,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", key:
     spots = urls.select("host", "path").distinct().join(open_hosts, "host")
     spots = spots.withColumn("key", F.concat("hkey", F.lit("\u0000"), "path"))
     inner = nested(spots.select("key").distinct(), rules.select(F.col("rule_key").alias("key")), _text_prefixes())
-    inner = inner.where(F.size("stack") > 0).select("key", F.element_at("stack", -1).alias("rule_key"))
+    inner = inner.where(F.size("stack") > 0).select("key", F.try_element_at("stack", F.lit(-1)).alias("rule_key"))
     fitting = (
         spots.join(inner, "key")
         .join(rules, "rule_key")
