@@ -116,32 +116,32 @@ def may_link(na: int, nb: int, a: bytes, b: bytes, percent: int) -> bool:
     return most >= int(least_overlap(np.int64(na + nb), percent))
 
 
-def _features(docs: DataFrame, key: str, size: int, percent: int) -> DataFrame:
-    names = [key, "n", "f1", "f2", "minima", "parts", "bits"]
+def _features(docs: DataFrame, key: str, size: int) -> DataFrame:
+    names = [key, "n", "f1", "f2", "minima", "bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in tk.slices(batch.column(1)):
-                n, f1, f2, minima, parts, maps = ([] for _ in range(6))
+                n, f1, f2, minima, maps = ([] for _ in range(5))
                 for own in shingle_sets(piece, size):
                     n.append(len(own))
                     f1.append(tk.mix(own).sum(dtype=np.uint64)), f2.append(tk.mix(own ^ _SEEDS[0]).sum(dtype=np.uint64))
                     if len(own):
                         minima.append(tk.mix(own[None, :] ^ _SEEDS[:, None]).min(axis=1))
-                        parts.append(part_keys(own, percent)), maps.append(bitmap(own))
+                        maps.append(bitmap(own))
                     else:
-                        minima.append(own), parts.append(own), maps.append(b"")
+                        minima.append(own), maps.append(b"")
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(piece.first, piece.rows), pa.array(n, pa.int64()),
                         pa.array(tk.signed(np.array(f1, np.uint64))), pa.array(tk.signed(np.array(f2, np.uint64))),
-                        _lists(minima), _lists(parts), pa.array(maps, pa.binary()),
+                        _lists(minima), pa.array(maps, pa.binary()),
                     ],
                     names,
                 )
 
     kind = docs.schema[key].dataType.simpleString()
-    fields = f"`{key}` {kind}, n long, f1 long, f2 long, minima array<long>, parts array<long>, bits binary"
+    fields = f"`{key}` {kind}, n long, f1 long, f2 long, minima array<long>, bits binary"
     return docs.select(key, "text").mapInArrow(run, fields)
 
 
@@ -186,23 +186,33 @@ def _linked(docs: DataFrame, close: DataFrame, key: str, size: int, percent: int
     return durable(both.select("a", "b", "ta", "tb").mapInArrow(exact, "a long, b long").distinct())
 
 
-def _part_blocks(ranges: int):
-    """Blocks of (part key, document, component)."""
+def _part_blocks(size: int, percent: int, ranges: int):
+    """Blocks of (part key, document, component) of (document, component, text) batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        count = 0
         for batch in batches:
             doc, comp = (batch.column(i).to_numpy() for i in range(2))
-            lists = batch.column(2)
-            row = np.repeat(np.arange(len(batch)), np.diff(lists.offsets.to_numpy()))
-            values = lists.flatten().to_numpy().view(np.uint64)
-            for a in range(0, len(values), spread.FLUSH):
-                own, r = values[a : a + spread.FLUSH], row[a : a + spread.FLUSH]
-                low = (own & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-                yield from spread.pack(own, [low, doc[r], comp[r]], ranges)
+            for piece in tk.slices(batch.column(2)):
+                for i, own in enumerate(shingle_sets(piece, size), piece.first):
+                    keys = part_keys(own, percent)
+                    held.append((keys, np.full(len(keys), doc[i]), np.full(len(keys), comp[i])))
+                    count += len(keys)
+                    if count > spread.FLUSH:
+                        yield from _flush_parts(held, ranges)
+                        held, count = [], 0
+        if count:
+            yield from _flush_parts(held, ranges)
 
     return run
 
 
+def _flush_parts(held: list[tuple[np.ndarray, ...]], ranges: int) -> Iterator[pa.RecordBatch]:
+    keys, doc, comp = (np.concatenate(c) for c in zip(*held))
+    yield from spread.pack(keys, [(keys & np.uint64(0xFFFFFFFF)).astype(np.uint32), doc, comp], ranges)
+
+
 def _tile_members(group: pa.Table) -> pa.Table:
     """(tile, members, place, document, component) of every tile that spans components."""
     low, doc, comp = spread.unpack(group, [np.uint32, np.int64, np.int64])
@@ -272,7 +282,7 @@ def join(docs: DataFrame, size: int = 3, percent: int = 90, key: str = "doc_id")
     """(key, n_shingles, component_id) for every row of ``docs``; ``key`` is a long."""
     ship_package(docs.sparkSession)
     docs = docs.select(F.col(key).cast("long").alias(key), "text")
-    features = durable(_features(docs, key, size, percent))
+    features = durable(_features(docs, key, size))
     classes = features.where("n > 0").groupBy("n", "f1", "f2").agg(F.min(key).alias("rep"))
     same = ["n", "f1", "f2"]
     leads = features.where(f"n > 0 AND {key} IS NOT NULL").select(key, *same).join(classes, same).where(f"{key} = rep")
@@ -287,9 +297,10 @@ def join(docs: DataFrame, size: int = 3, percent: int = 90, key: str = "doc_id")
 
     named = leads.select(key).distinct().join(grouped.withColumnRenamed("node", key), key, "left")
     named = named.select(key, F.coalesce("component", key).alias("comp"))
-    source = reps.select(key, "parts").join(named, key).select(key, "comp", "parts")
-    records = features.agg(F.sum(F.size("parts"))).first()[0] or 0
-    blocks = source.mapInArrow(_part_blocks(spread.ranges_for(records)), spread.BLOCKS)
+    source = docs.join(named, key).select(key, "comp", "text")
+    share = 2 * (100 / percent) ** 2 * (100 - percent) / (100 + percent)  # keys for each shingle, nearly
+    records = (leads.agg(F.sum("n")).first()[0] or 0) * share
+    blocks = source.mapInArrow(_part_blocks(size, percent, spread.ranges_for(records)), spread.BLOCKS)
     members = durable(spread.by_range(blocks, _tile_members, "tile long, members long, place long, doc long, comp long"))
     cuts = F.ceil(F.col("members") / TILE)
     other = F.explode(F.sequence(F.lit(0).cast("long"), cuts - 1)).alias("other")
