@@ -95,7 +95,7 @@ def consolidate_parcels(raw: DataFrame, rules: ParcelRules, srid: int = 3857, ar
     """Drop non-parcels and give every row a key.
 
     Measures come from the geometry as delivered; repair happens afterwards and
-    does not change them.
+    changes the stored geohash only (:func:`current_geohash`).
     """
     kept = measured(raw, srid, area_srid).where(~exclusion(rules))
     fallback = text.fallback_key(text.pad_code(F.col(rules.fips)), F.col("geohash11"))
@@ -111,6 +111,13 @@ def consolidate_parcels(raw: DataFrame, rules: ParcelRules, srid: int = 3857, ar
     )
 
 
+def current_geohash(repaired: DataFrame, srid: int = 3857) -> DataFrame:
+    """Bounding-box geohash of the stored outline: a repair may have changed it."""
+    return repaired.withColumn(
+        "geohash11", F.when(F.col("repaired"), geohash_box(F.col("geom"), 11, srid)).otherwise(F.col("geohash11"))
+    )
+
+
 def finish_keys(consolidated: DataFrame, rules: ParcelRules, srid: int = 3857) -> DataFrame:
     """State-specific key change that runs after repair and before de-duplication."""
     if rules.state != "washington":

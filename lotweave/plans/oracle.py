@@ -345,7 +345,13 @@ pool AS (
 finished AS (SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY maptaxlot ORDER BY pri, area DESC, geohash11, cid) AS rn FROM pool) WHERE rn = 1)""",
 )
-add("clean_taxlots", "SELECT county, maptaxlot, geohash11, round(area, 3) AS planar_area FROM finished", *FINISHED)
+add("clean_taxlots", "SELECT county, maptaxlot, geohash11, round(area, 3) AS planar_area, true AS has_outline FROM finished", *FINISHED)
+add(
+    "dissolve_near_copies",
+    "SELECT id, round(CAST((x1 - x0) * (y1 - y0) AS DOUBLE), 1) AS area, true AS close FROM fx_parcels",
+    b.PARCELS,
+)
+add("repaired_geohash", "SELECT id, geohash11 FROM fx_spike_hash", b.PARCELS, b.box_geohash_cte("fx_parcels", "fx_spike_hash"))
 add(
     "dedupe_report",
     """

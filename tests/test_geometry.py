@@ -139,3 +139,35 @@ def test_repair_is_selective_and_idempotent(spark):
     got = {r.id: (r.repaired, r.area) for r in fixed.select("id", "repaired", g.area(F.col("geom")).alias("area")).collect()}
     assert got == {1: (True, 2.0), 2: (False, 32.0), 3: (False, 1.0), 4: (False, None), 5: (True, 2.0)}
     assert fixed.where(~is_valid(F.col("geom"))).isEmpty()
+
+
+def _circle(corners, radius=100.0):
+    turn = np.arange(corners) * 2 * np.pi / corners
+    return np.stack([1000 + radius * np.cos(turn), 2000 + radius * np.sin(turn)], axis=1)
+
+
+def _ring_edges(ring):
+    return np.concatenate([ring, np.roll(ring, -1, axis=0)], axis=1)
+
+
+@pytest.mark.parametrize("jitter", [1e-6, 1e-5, 1e-4, 1e-3, 1e-2])
+@pytest.mark.parametrize("copies", [2, 5, 10, 50])
+def test_union_of_near_copies_loses_nothing(copies, jitter):
+    rng = np.random.default_rng(copies)
+    shapes = [_ring_edges(_circle(60) + rng.normal(0, jitter, (60, 2))) for _ in range(copies)]
+    largest = max(_area(ov.overlay([s], ov.union_rule)) for s in shapes)
+    united = _area(ov.union_of(shapes))
+    assert largest - 1e-3 <= united <= _area([[(_circle(60, 100 + 6 * jitter)[[*range(60), 0]]).ravel().tolist()]]) + 1e-3
+
+
+def test_large_outline_is_quick():
+    import time
+
+    start = time.perf_counter()
+    assert _area(ov.overlay([_ring_edges(_circle(8000, 1000.0))], ov.union_rule)) == pytest.approx(np.pi * 1e6, rel=1e-5)
+    assert time.perf_counter() - start < 1
+
+
+def test_open_boundary_is_an_error():
+    with pytest.raises(ov.OpenBoundary):
+        ov._walk(np.array([[0.0, 0.0, 1.0, 0.0], [1.0, 0.0, 1.0, 1.0]]))
