@@ -16,7 +16,9 @@ from lotweave.operators.dissolve import subdivide
 from lotweave.operators.maintenance import pending_zonal, replace_by_key
 from lotweave.operators.spatial_join import DEFAULT_CELL
 from lotweave.plans import counties, layers, taxlots
+from lotweave.session import durable
 from lotweave.sources import catalog, features, pages, vector
+from lotweave.sources.export import CONTRACTS, apply_defaults, export_table, verify_export
 from lotweave.workspace import Workspace
 
 Loader = Callable[[Workspace, str], None]
@@ -24,19 +26,32 @@ TABLES = ("taxlots", "coa", "soil", "populationpoint")
 ZONAL_MIN_AREA = 2023.0
 
 
-def load_layer(ws: Workspace, state: str, entry: Mapping, page_root: str, overwrite: bool = False) -> DataFrame:
-    """Stored pages of one catalog entry into its staging table; returns the quarantined rows."""
+def load_layer(ws: Workspace, state: str, entry: Mapping, page_root: str, overwrite: bool = False) -> int:
+    """Stored pages of one catalog entry into its staging table; returns how many pages are incomplete.
+
+    What arrived is staged. Pages that are missing, failed or short go to the
+    staging table ``<layer>_ledger`` and unreadable features to
+    ``<layer>_quarantine``. Rows carry ``id``, the feature's place in the layer.
+    """
+    layer, mode = entry["layer"], "overwrite" if overwrite else "error"
     schema = catalog.declared_schema(entry["outfields"] or "", entry["dtypes"] or "")
-    stored = pages.read_pages(ws.spark, page_root).where(F.col("layer") == entry["layer"])
-    rows = features.feature_rows(stored.where("status = 'ok'"), "body", schema, bool(entry["geom"]))
-    mode = "overwrite" if overwrite else "error"
-    if not entry["geom"]:
-        ws.write_staging(catalog.filtered(rows, entry["where"]), state, entry["layer"], mode)
-        return rows.limit(0)
-    loaded, bad = features.with_geometry(rows, "geometry", "geojson", entry["epsg"] or 4326)
-    kept = catalog.filtered(loaded, entry["where"])
-    ws.write_staging(layers.post_process(state, entry["layer"], kept), state, entry["layer"], mode)
-    return bad
+    stored = pages.read_pages(ws.spark, page_root).where(F.col("layer") == layer)
+    totals = pages.read_totals(ws.spark, page_root).where(F.col("layer") == layer)
+    gaps = durable(pages.page_gaps(stored, totals.withColumn("max_records", F.lit(entry.get("max_records")).cast("long"))))
+    extra = catalog.filter_fields(entry["where"], schema.names)
+    good = stored.where("status = 'ok'")
+    rows = features.feature_rows(good, "body", schema, bool(entry["geom"]), ("offset",), extra, "_place")
+    rows = rows.withColumn("id", F.col("offset") + F.col("_place")).drop("offset", "_place")
+    rows = catalog.filtered(rows, entry["where"]).drop(*extra)
+    if entry["geom"]:
+        rows, bad = features.with_geometry(rows, "geometry", "geojson", entry["epsg"] or 4326)
+        ws.write_staging(bad, state, f"{layer}_quarantine", mode)
+    ws.write_staging(layers.post_process(state, layer, rows), state, layer, mode)
+    ws.write_staging(gaps, state, f"{layer}_ledger", mode)
+    for name, needed, compose in layers.COMPOSED.get((state, layer), ()):
+        if all(ws.has_staging(state, n) for n in needed):
+            ws.write_staging(compose(*[_lower(ws.staging(state, n)) for n in needed]), state, name, mode)
+    return gaps.count()
 
 
 def ingest(
@@ -49,7 +64,7 @@ def ingest(
     loaders: Mapping[str, Loader] | None = None,
     load: Callable = load_layer,
 ) -> dict[str, str]:
-    """Refresh layers of a state and report a status per layer.
+    """Refresh layers of a state and report a status per layer: ok, incomplete, skipped, unknown or failed.
 
     Named layers stop at the first failure; without names every fetchable layer
     runs and failures are noted. ``soil`` and ``elevation`` have loaders of
@@ -81,8 +96,8 @@ def ingest(
             status[name] = "skipped"
         else:
             try:
-                load(ws, full, entry, page_root, overwrite)
-                status[name] = "ok"
+                short = load(ws, full, entry, page_root, overwrite)
+                status[name] = f"incomplete: {short} pages" if short else "ok"
             except Exception as problem:
                 if names:
                     raise
@@ -114,9 +129,10 @@ def _layers(ws: Workspace, state: str) -> dict:
 
 
 def parcel_shapes(ws: Workspace, state: str) -> DataFrame:
-    """Outlines of the cleaned parcels; an outline too large for one row comes in pieces."""
+    """Outlines of the cleaned parcels for spatial joins; those that were united in pieces come piece by piece."""
+    pieces = ws.staging(state, "taxlots_post_pieces").select("maptaxlot", "geom")
     whole = ws.staging(state, "taxlots_post").where(F.col("geom").isNotNull()).select("maptaxlot", "geom")
-    return whole.unionByName(ws.staging(state, "taxlots_post_pieces").select("maptaxlot", "geom"))
+    return whole.join(pieces.select("maptaxlot").distinct(), "maptaxlot", "left_anti").unionByName(pieces)
 
 
 APP_TAXLOT = (
@@ -137,7 +153,7 @@ def _build_taxlots(ws: Workspace, state: str) -> str:
         app, parcels, ws.staging(state, "elevation"), ws.staging(state, "ppa"), _layers(ws, state), rules, landuse,
         shapes=parcel_shapes(ws, state),
     )
-    return ws.write_app_table(fresh, table, ["map_taxlot"])
+    return ws.write_app_table(fresh, table, ["map_taxlot"], CONTRACTS[table])
 
 
 def _lower(df: DataFrame) -> DataFrame:
@@ -146,7 +162,7 @@ def _lower(df: DataFrame) -> DataFrame:
 
 def _build_coa(ws: Workspace, state: str) -> str:
     rows = layers.conservation_areas(_lower(ws.staging(state, "coa")), _lower(ws.staging(state, "huc")))
-    return ws.write_app_table(rows, f"{state}_app_coa", ["huc12", "coa_id"])
+    return ws.write_app_table(rows, f"{state}_app_coa", ["huc12", "coa_id"], CONTRACTS[f"{state}_app_coa"])
 
 
 def _build_soil(ws: Workspace, state: str) -> str:
@@ -155,8 +171,9 @@ def _build_soil(ws: Workspace, state: str) -> str:
 
 
 def _build_populationpoint(ws: Workspace, state: str) -> str:
-    rows = layers.population_points(_lower(ws.staging(state, "ppa")))
-    return ws.write_app_table(rows, f"{state}_app_populationpoint", ["place_fips", "geometry"])
+    contract = CONTRACTS["app_populationpoint"]
+    rows = apply_defaults(layers.population_points(_lower(ws.staging(state, "ppa"))), contract)
+    return ws.write_app_table(rows, f"{state}_app_populationpoint", ["place_fips", "geometry"], contract)
 
 
 BUILDERS: dict[tuple[str, str], Callable[[Workspace, str], str]] = {
@@ -232,3 +249,41 @@ def update_elevation(
     todo = todo.withColumn("geom", reproject(F.col("geom"), 3857, grid_srid))
     fresh = zonal.parcel_statistics(todo, raster, grid, ["maptaxlot", "geohash11", "area_sqm"])
     return replace_by_key(done, fresh, "maptaxlot") if done is not None else fresh
+
+
+def refresh_elevation(ws: Workspace, state: str, raster: DataFrame, grid: zonal.Grid, grid_srid: int = 5070) -> dict[str, int]:
+    """Bring the staging table ``elevation`` up to date; returns the run's totals.
+
+    ``processed`` parcels have a new row, ``failed`` ones were due and meet no pixel.
+    """
+    full = normalise_state_name(state)
+    parcels = ws.staging(full, "taxlots_post").select("maptaxlot", "geohash11", "area_sqm")
+    done = durable(ws.staging(full, "elevation")) if ws.has_staging(full, "elevation") else None
+    due = pending_zonal(parcels, done, ZONAL_MIN_AREA) if done is not None else parcels.where(F.col("area_sqm") > ZONAL_MIN_AREA)
+    due = durable(due.select("maptaxlot", "geohash11"))
+    rows = durable(update_elevation(ws, full, raster, grid, done, grid_srid))
+    processed = due.join(rows, ["maptaxlot", "geohash11"], "left_semi").count()
+    ws.write_staging(rows, full, "elevation", "overwrite")
+    return {"processed": processed, "failed": due.count() - processed}
+
+
+def stage_soil(ws: Workspace, state: str, tables: Mapping[str, DataFrame], overwrite: bool = False) -> None:
+    """Soil survey tables (muaggatt, component, coforprod, corestrictions, mupolygon) into the staging the soil table is built from."""
+    full, mode = normalise_state_name(state), "overwrite" if overwrite else "error"
+    polygons = tables["mupolygon"]
+    units = soil.state_map_units(polygons, normalise_state_name(state, "abbr").upper())
+    data = soil.soil_rollup(*[tables[n] for n in ("muaggatt", "component", "coforprod", "corestrictions")], units)
+    own = polygons.join(units, ["areasymbol", "mukey"], "left_semi")
+    ws.write_staging(data, full, "soil_data", mode)
+    ws.write_staging(soil.soil_polygons(tables["muaggatt"], own, own), full, "soil_geom", mode)
+
+
+def export_application(ws: Workspace, table: str, path: str, mode: str = "error") -> None:
+    """Write the current snapshot of an application table to ``path`` without its surrogate id, and compare what was written."""
+    current = ws.app_table(table)
+    if current is None:
+        raise ValueError(f"{table!r} was never built")
+    export_table(current, path, mode=mode)
+    wrong = [r.name for r in verify_export(current, ws.spark.read.parquet(path)).select("name").collect()]
+    if wrong:
+        raise ValueError(f"{table}: the export differs in {', '.join(sorted(wrong))}")

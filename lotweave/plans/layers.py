@@ -70,6 +70,10 @@ POST_PROCESSING = {
 }
 
 
+# Layers that are made of others once these are staged: name, inputs in order, and how.
+COMPOSED = {("oregon", "plss2"): (("plss", ("plss1", "plss2"), legal_sections),)}
+
+
 def post_process(state: str, layer: str, df: DataFrame) -> DataFrame:
     """Run the layer's registered post-processing, if any."""
     step = POST_PROCESSING.get((state, layer))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotweave.sources.export import Contract, violations
+
 
 class Workspace:
     def __init__(self, spark: SparkSession, root: str):
@@ -21,6 +23,10 @@ class Workspace:
     def staging(self, state: str, layer: str) -> DataFrame:
         return self.spark.read.parquet(self.staging_path(state, layer))
 
+    def has_staging(self, state: str, layer: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.staging_path(state, layer))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
     def write_staging(self, df: DataFrame, state: str, layer: str, mode: str = "error") -> None:
         """``error`` when the layer exists, ``overwrite`` or ``append`` on request."""
         df.write.mode(mode).option("compression", "zstd").parquet(self.staging_path(state, layer))
@@ -42,11 +48,21 @@ class Workspace:
             return None
         return self.spark.read.parquet(f"{self.root}/app/{table}/snapshot={numbers[-1]}")
 
-    def write_app_table(self, df: DataFrame, table: str, key: list[str]) -> str:
-        """Write the next snapshot with a surrogate id derived from the natural key."""
+    def write_app_table(self, df: DataFrame, table: str, key: list[str], contract: Contract | None = None) -> str:
+        """Write the next snapshot with a surrogate id derived from the natural key.
+
+        A snapshot that breaks its contract loses its success mark, so that no
+        reader takes it, and the broken rules are raised.
+        """
         number = (self._finished(table) or [0])[-1] + 1
         path = f"{self.root}/app/{table}/snapshot={number}"
         columns = [c for c in df.columns if c != "id"]
         rows = df.select(F.xxhash64(*key).alias("id"), *columns)
         rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        if contract is not None:
+            broken = violations(self.spark.read.parquet(path), contract).where("violations > 0").collect()
+            if broken:
+                mark = self.spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+                mark.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(mark, False)
+                raise ValueError(f"{table}: " + ", ".join(f"{r.rule} {r.column}: {r.violations} rows" for r in broken))
         return path

@@ -99,12 +99,82 @@ def test_pages_to_staging(spark, ws, entries, tmp_path):
     (folder / "0.json").write_text(json.dumps(page))
     (folder / "2.json").write_text(json.dumps({"error": {"code": 500}}))
     (folder / "4.json").write_text("")
-    assert api.ingest(ws, "OR", entries, str(tmp_path / "pages"), ["fpd"]) == {"fpd": "ok"}
+    assert api.ingest(ws, "OR", entries, str(tmp_path / "pages"), ["fpd"]) == {"fpd": "incomplete: 1 pages"}
+    assert ws.staging("oregon", "fpd_quarantine").count() == 1
     rows = ws.staging("oregon", "fpd").select("ODF_FPD", "srid", F.size("geom").alias("parts")).collect()
     assert sorted((str(r.ODF_FPD), r.srid, r.parts) for r in rows) == [("None", 3857, 1), ("a", 3857, 1)]
     with pytest.raises(Exception, match="(?i)exist"):
         api.ingest(ws, "OR", entries, str(tmp_path / "pages"), ["fpd"])
-    api.ingest(ws, "OR", entries, str(tmp_path / "pages"), ["fpd"], overwrite=True)
+    (folder / "count.json").write_text(json.dumps({"count": 8}))
+    (folder / "2.json").write_text(json.dumps({"features": [feature("c", None)]}))
+    assert api.ingest(ws, "OR", entries, str(tmp_path / "pages"), ["fpd"], overwrite=True) == {"fpd": "incomplete: 3 pages"}
+    ledger = {r.offset: r.status for r in ws.staging("oregon", "fpd_ledger").collect()}
+    assert ledger == {2: "short", 4: "missing", 6: "missing"}
+
+
+def test_filter_on_undeclared_fields_and_ids(spark, ws, tmp_path):
+    """The parcel layer's own filter names a field that is not kept."""
+    entry = dict(
+        state="washington", layer="taxlots", epsg=3857, fetch=True, geom=True, max_records=3, where="ABS(Shape__Area) < 1000000000 AND NOT COUNTY_NM LIKE 'or%'",
+        outfields="OBJECTID,FIPS_NR,ORIG_PARCEL_ID,LANDUSE_CD,COUNTY_NM,FILE_DATE", dtypes="BIGINT,INTEGER,VARCHAR(20),SMALLINT,VARCHAR(12),BIGINT",
+    )
+    entries = catalog.catalog_from_rows(spark, [entry])
+    folder = tmp_path / "p" / "layer=taxlots"
+    folder.mkdir(parents=True)
+    areas = [5, -2000000000, 7, 3000000000, 9]
+    for offset in (0, 3):
+        page = [
+            {"properties": {"OBJECTID": i, "FIPS_NR": 1, "ORIG_PARCEL_ID": f"k{i}", "COUNTY_NM": "x", "Shape__Area": a}, "geometry": {"type": "Polygon", "coordinates": [[[i, 0], [i + 1, 0], [i + 1, 1], [i, 0]]]}}
+            for i, a in list(enumerate(areas))[offset : offset + 3]
+        ]
+        (folder / f"{offset}.json").write_text(json.dumps({"features": page}))
+    (folder / "count.json").write_text('{"count": 5}')
+    assert api.ingest(ws, "WA", entries, str(tmp_path / "p"), ["taxlots"]) == {"taxlots": "ok"}
+    rows = ws.staging("washington", "taxlots")
+    assert "Shape__Area" not in rows.columns and sorted((r.id, r.OBJECTID) for r in rows.collect()) == [(0, 0), (2, 2), (4, 4)]
+    assert api.clean(ws, "WA").count() == 9
+
+
+def test_oregon_sections_are_composed(spark, ws, tmp_path):
+    entries = catalog.catalog_from_rows(
+        spark,
+        [
+            dict(state="oregon", layer="plss1", epsg=3857, outfields="FRSTDIVNO", dtypes="VARCHAR(10)", fetch=True, geom=True, max_records=5),
+            dict(state="oregon", layer="plss2", epsg=3857, outfields="TWNSHPLAB", dtypes="VARCHAR(20)", fetch=True, geom=True, max_records=5),
+        ],
+    )
+    for layer, name, value, size in (("plss1", "FRSTDIVNO", "7", 2), ("plss2", "TWNSHPLAB", "T1N R2W", 9)):
+        folder = tmp_path / "p" / f"layer={layer}"
+        folder.mkdir(parents=True)
+        ring = [[0, 0], [size, 0], [size, size], [0, size], [0, 0]]
+        page = {"features": [{"properties": {name: value}, "geometry": {"type": "Polygon", "coordinates": [ring]}}]}
+        (folder / "0.json").write_text(json.dumps(page))
+    assert api.ingest(ws, "OR", entries, str(tmp_path / "p")) == {"plss1": "ok", "plss2": "ok"}
+    row = ws.staging("oregon", "plss").select("legal_desc", g.area(F.col("geom")).alias("area")).first()
+    assert "7" in row.legal_desc and row.area == 4
+
+
+def test_contract_keeps_broken_snapshots_out(spark, ws):
+    rule = export.Contract(required=("k",), unique=("k",))
+    ws.write_app_table(spark.createDataFrame([("a",)], "k string"), "t", ["k"], rule)
+    with pytest.raises(ValueError, match="unique k: 1 rows"):
+        ws.write_app_table(spark.createDataFrame([("a",), ("a",)], "k string"), "t", ["k"], rule)
+    assert ws.app_table("t").count() == 1
+
+
+def test_soil_staging(spark, ws):
+    area = as_geom(square(0, 0, 10))
+    tables = {
+        "muaggatt": spark.createDataFrame([("1", "name", None, None)], "mukey string, muname string, drclassdcd string, forpehrtdcp string"),
+        "component": spark.createDataFrame([("1", "c1", 50)], "mukey string, cokey string, comppct_r int"),
+        "coforprod": spark.createDataFrame([("c1", "Fir", 90)], "cokey string, plantcomname string, siteindex_r int"),
+        "corestrictions": spark.createDataFrame([("c1", 10, 20)], "cokey string, resdept_l int, resdept_h int"),
+        "mupolygon": spark.createDataFrame([("1", "OR01", "1", "A", area), ("2", "WA01", "1", "B", area)], f"mukey string, areasymbol string, spatialversion string, musym string, {GEOM}"),
+    }
+    api.stage_soil(ws, "OR", tables)
+    assert ws.staging("oregon", "soil_data").first().si_label == "Fir - 90 ft"
+    api.build(ws, "soil", "OR")
+    assert ws.app_table("oregon_app_soiltype").count() == 1
 
 
 def test_import_vector(spark, ws, tmp_path):
@@ -171,6 +241,15 @@ def test_clean_build_and_refresh(spark, ws):
     zones = api.update_elevation(ws, "OR", strips, grid)
     assert zones.count() == 5 and zones.where("forest_pix <> total_pix OR min_elev <> 1").isEmpty()
     assert api.update_elevation(ws, "OR", strips, grid, zones).count() == 5
+    fresh = Workspace(spark, ws.root + "3")
+    for layer in ("taxlots_post", "taxlots_post_pieces"):
+        fresh.write_staging(ws.staging("oregon", layer), "oregon", layer)
+    assert api.refresh_elevation(fresh, "OR", strips, grid) == {"processed": 5, "failed": 0}
+    assert fresh.staging("oregon", "elevation").count() == 5
+    assert api.refresh_elevation(fresh, "OR", strips, grid) == {"processed": 0, "failed": 0}
+    api.export_application(ws, "oregon_app_taxlot", ws.root + "-export")
+    with pytest.raises(ValueError, match="never built"):
+        api.export_application(ws, "oregon_app_coa", ws.root + "-export2")
     api.build(ws, "populationpoint", "OR")
     assert ws.app_table("oregon_app_populationpoint").first().place_fips == 12
 
