@@ -245,6 +245,30 @@ def layer_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def shaped(rows: DataFrame, key: str) -> DataFrame:
+    """Rectangles redrawn by key: as they are, L-shapes, frames around a hole, and two parts."""
+    box = g.bbox(F.col("geom"))
+
+    def x(k):
+        return F.col("_b.minx") + (F.col("_b.maxx") - F.col("_b.minx")) * (k / 4)
+
+    def y(k):
+        return F.col("_b.miny") + (F.col("_b.maxy") - F.col("_b.miny")) * (k / 4)
+
+    def ring(*corners):
+        return F.array(*[g.point(x(a), y(b)) for a, b in (*corners, corners[0])])
+
+    def block(a, b, c, d):
+        return ring((a, b), (c, b), (c, d), (a, d))
+
+    bent = F.array(F.array(ring((0, 0), (4, 0), (4, 2), (2, 2), (2, 4), (0, 4))))
+    frame = F.array(F.array(block(0, 0, 4, 4), ring((1, 1), (1, 3), (3, 3), (3, 1))))
+    parts = F.array(F.array(block(0, 0, 1, 4)), F.array(block(3, 0, 4, 4)))
+    kind = F.col(key) % 4
+    geom = F.when(kind == 1, bent).when(kind == 2, frame).when(kind == 3, parts).otherwise(F.col("geom"))
+    return rows.withColumn("_b", box).withColumn("geom", geom).drop("_b")
+
+
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page attempt per event."""
     return table(spark, sf_dir, "events").selectExpr(

@@ -143,6 +143,7 @@ add(
 # ---- spatial joins ------------------------------------------------------------------------------
 
 MEET = "p.x0 <= f.x1 AND f.x0 <= p.x1 AND p.y0 <= f.y1 AND f.y0 <= p.y1"
+INSIDE = "(p.x0 + p.x1) / 2.0 BETWEEN f.x0 AND f.x1 AND (p.y0 + p.y1) / 2.0 BETWEEN f.y0 AND f.y1"
 OVERLAP = "(least(p.x1, f.x1) - greatest(p.x0, f.x0)) * (least(p.y1, f.y1) - greatest(p.y0, f.y0))"
 
 
@@ -156,6 +157,55 @@ def dominant(layer: int, source: str = "fx_parcels") -> str:
 add("spatial_join", f"SELECT p.id, f.fid FROM fx_parcels p JOIN fx_layer f ON {MEET}", b.PARCELS, b.LAYER)
 add("dominant_huc", f"SELECT id, fid, label, overlap_area FROM ({dominant(0)})", b.PARCELS, b.LAYER)
 add("dominant_zone", f"SELECT id, fid, kind, overlap_area FROM ({dominant(4)})", b.PARCELS, b.LAYER)
+
+
+def rects(source: str, key: str, target: str) -> str:
+    """CTEs: the shapes of ``source`` as rectangles that do not overlap."""
+    kinds = {0: [(0, 0, 4, 4)], 1: [(0, 0, 4, 2), (0, 2, 2, 4)], 2: [(0, 0, 4, 1), (0, 3, 4, 4), (0, 1, 1, 3), (3, 1, 4, 3)], 3: [(0, 0, 1, 4), (3, 0, 4, 4)]}
+    values = ", ".join(f"({k}, {a}, {b}, {c}, {d})" for k, blocks in kinds.items() for a, b, c, d in blocks)
+    return (
+        f"{target} AS (SELECT s.* EXCLUDE (x0, y0, x1, y1), x0 + (x1 - x0) * a / 4.0 AS x0, y0 + (y1 - y0) * b / 4.0 AS y0, "
+        f"x0 + (x1 - x0) * c / 4.0 AS x1, y0 + (y1 - y0) * d / 4.0 AS y1 "
+        f"FROM {source} s JOIN (VALUES {values}) k(kind, a, b, c, d) ON s.{key} % 4 = k.kind)"
+    )
+
+
+SHAPES = (b.PARCELS, b.LAYER, rects("fx_parcels", "id", "pr"), rects("fx_layer", "fid", "fr"))
+add(
+    "measure_shapes",
+    """SELECT r.id, CAST(sum((r.x1 - r.x0) * (r.y1 - r.y0)) AS DOUBLE) AS area,
+  CAST(any_value(CASE r.id % 4 WHEN 2 THEN 3 * (p.x1 - p.x0 + p.y1 - p.y0) WHEN 3 THEN (p.x1 - p.x0) + 4 * (p.y1 - p.y0)
+    ELSE 2 * (p.x1 - p.x0 + p.y1 - p.y0) END) AS DOUBLE) AS perimeter,
+  round(CAST(sum((r.x1 - r.x0) * (r.y1 - r.y0) * (r.x0 + r.x1)) / sum((r.x1 - r.x0) * (r.y1 - r.y0)) / 2 AS DOUBLE), 3) AS mid_x,
+  round(CAST(sum((r.x1 - r.x0) * (r.y1 - r.y0) * (r.y0 + r.y1)) / sum((r.x1 - r.x0) * (r.y1 - r.y0)) / 2 AS DOUBLE), 3) AS mid_y
+FROM pr r JOIN fx_parcels p USING (id) GROUP BY r.id""",
+    *SHAPES,
+)
+add("spatial_join_shapes", f"SELECT DISTINCT p.id, f.fid FROM pr p JOIN fr f ON f.layer_no = 0 AND {MEET}", *SHAPES)
+add(
+    "dominant_shapes",
+    f"""SELECT id, fid, label, round(CAST(area AS DOUBLE), 2) AS overlap_area FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY area DESC, fid) AS rn FROM (
+    SELECT p.id, f.fid, f.label, sum({OVERLAP}) AS area FROM pr p JOIN fr f ON f.layer_no = 0 AND {MEET} GROUP BY ALL) WHERE area > 0) WHERE rn = 1""",
+    *SHAPES,
+)
+add("points_in_shapes", f"SELECT DISTINCT p.id, f.fid FROM fx_parcels p JOIN fr f ON f.layer_no = 0 AND {INSIDE}", *SHAPES)
+add(
+    "overlay_shapes",
+    f"""SELECT a, b, round(CAST(area AS DOUBLE), 2) AS area FROM (
+  SELECT p.fid AS a, f.fid AS b, sum({OVERLAP}) AS area FROM fr p JOIN fr f ON p.layer_no = 0 AND f.layer_no = 1 AND {MEET} GROUP BY ALL) WHERE area > 0""",
+    *SHAPES,
+)
+add(
+    "ingest_status",
+    """SELECT layer, status, count(*) AS pages FROM (
+  SELECT layer, CASE WHEN event_id IS NULL THEN 'missing' WHEN event_type = 'error' THEN 'failed' WHEN event_id % 5 = 0 THEN 'short'
+    ELSE 'ok' END AS status
+  FROM (SELECT layer, unnest(range(last + 2)) AS k FROM (
+    SELECT 'layer' || (user_id % 7) AS layer, max(event_id) AS last FROM events GROUP BY 1))
+  LEFT JOIN (SELECT 'layer' || (user_id % 7) AS layer, event_id AS k, event_id, event_type FROM events) USING (layer, k))
+WHERE status <> 'ok' GROUP BY 1, 2""",
+)
 add(
     "coa_by_huc",
     f"""SELECT lpad(CAST(f.fid AS VARCHAR), 12, '0') AS huc12, CAST(p.fid AS VARCHAR) AS coa_id, p.label AS coa_name,
@@ -172,7 +222,6 @@ add(
     b.PLACE,
     b.ELEVATION,
 )
-INSIDE = "(p.x0 + p.x1) / 2.0 BETWEEN f.x0 AND f.x1 AND (p.y0 + p.y1) / 2.0 BETWEEN f.y0 AND f.y1"
 add(
     "county_map",
     f"""SELECT DISTINCT p.county, f.county_fipscode, f.county_name FROM fx_parcels p

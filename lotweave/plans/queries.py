@@ -16,7 +16,7 @@ from lotweave.operators import maintenance as m
 from lotweave.operators import soil, zonal
 from lotweave.operators.cluster import cluster_within
 from lotweave.operators.dissolve import dissolve, repair
-from lotweave.operators.overlap import largest_overlap
+from lotweave.operators.overlap import largest_overlap, overlay_pairs
 from lotweave.operators.spatial_join import points_in_polygons, spatial_pairs
 from lotweave.plans import counties as cty
 from lotweave.plans import derived as d
@@ -203,6 +203,49 @@ def dominant_zone(spark, sf):
     return largest_overlap(d.parcels(spark, sf), d.layer(spark, sf, 4), "id", "fid", ["kind"])
 
 
+def _parcel_shapes(spark, sf):
+    return d.shaped(d.parcels(spark, sf).select("id", "geom"), "id")
+
+
+def _layer_shapes(spark, sf, number):
+    return d.shaped(d.layer(spark, sf, number), "fid")
+
+
+@query
+def measure_shapes(spark, sf):
+    """L-shapes, frames and two-part shapes: area, perimeter, centroid."""
+    rows = _parcel_shapes(spark, sf).withColumn("mid", g.centroid(F.col("geom")))
+    return rows.select(
+        "id", g.area(F.col("geom")).alias("area"), g.perimeter(F.col("geom")).alias("perimeter"),
+        F.round("mid.x", 3).alias("mid_x"), F.round("mid.y", 3).alias("mid_y"),
+    )
+
+
+@query
+def spatial_join_shapes(spark, sf):
+    return spatial_pairs(_parcel_shapes(spark, sf), _layer_shapes(spark, sf, 0), ["id"], ["fid"])
+
+
+@query
+def dominant_shapes(spark, sf):
+    best = largest_overlap(_parcel_shapes(spark, sf), _layer_shapes(spark, sf, 0), "id", "fid", ["label"])
+    return best.where("overlap_area > 0").select("id", "fid", "label", F.round("overlap_area", 2).alias("overlap_area"))
+
+
+@query
+def points_in_shapes(spark, sf):
+    spots = d.parcels(spark, sf).select("id", g.centroid(F.col("geom")).alias("spot"))
+    return points_in_polygons(spots, _layer_shapes(spark, sf, 0), "spot", ["id"], ["fid"])
+
+
+@query
+def overlay_shapes(spark, sf):
+    """Intersections of two layers of general shapes, by the overlay kernel."""
+    first = _layer_shapes(spark, sf, 0).select(F.col("fid").alias("a"), "geom")
+    rows = overlay_pairs(first, _layer_shapes(spark, sf, 1).select(F.col("fid").alias("b"), "geom"), ["a"], ["b"])
+    return rows.select("a", "b", F.round(g.area(F.col("geom")), 2).alias("area"))
+
+
 @query
 def coa_by_huc(spark, sf):
     coa = d.layer(spark, sf, 2).select(
@@ -535,6 +578,17 @@ def source_filter(spark, sf):
     return rows.select("event_id", "user_id", "value")
 
 
+@query
+def ingest_status(spark, sf):
+    """Planned pages against stored ones: what is missing, failed or short, per layer."""
+    log = d.page_log(spark, sf)
+    held = F.when(F.col("offset") % 500 == 0, 99).otherwise(100)
+    body = F.concat(F.lit('{"features":['), F.array_join(F.array_repeat(F.lit("1"), held), ","), F.lit("]}"))
+    totals = log.groupBy("layer").agg((F.max("offset") + 200).alias("total")).withColumn("max_records", F.lit(100))
+    gaps = pages.page_gaps(log.withColumn("body", body), totals)
+    return gaps.groupBy("layer", "status").agg(F.count("*").alias("pages"))
+
+
 @query
 def page_ledger(spark, sf):
     log = d.page_log(spark, sf)
