@@ -9,7 +9,9 @@
    in the corpus.
 3. First, documents with an equal minimum hash meet the one with the smallest id; what
    links becomes a component. Then tiles are compared, but only pairs in different components:
-   others change nothing. Tiles of more than ``TILE`` documents are cut into blocks.
+   others change nothing. A first pass takes each document's likeliest earlier partner, a second one
+   all pairs that still lie in different components. Tiles of more than ``TILE`` documents are cut
+   into blocks.
 4. A pair's hashed bitmaps bound its overlap from above: a bit set in one and not in the other
    is a shingle that only one has. Tiles are compared by bit counts inside a task; only pairs that
    may still link leave it, have their texts joined and their sorted shingle arrays intersected.
@@ -237,8 +239,11 @@ def _folded(maps: list[bytes]) -> np.ndarray:
     return np.stack([np.bitwise_or.reduce(np.frombuffer(m, dtype=np.uint64).reshape(-1, width), axis=0) for m in maps])
 
 
-def _compare(percent: int, step: int = 128):
-    """Pairs of a bucket's tiles whose sizes and bitmaps allow a link, in different components."""
+def _compare(percent: int, forest: bool, step: int = 128):
+    """Pairs of a bucket's tiles whose sizes and bitmaps allow a link, in different components.
+
+    With ``forest``, each document has only the earlier one that it most likely links with.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
@@ -269,7 +274,11 @@ def _compare(percent: int, step: int = 128):
                     u, v = bits[x[p]], bits[y[q]]
                     nu, nv = n[own[x[p]]], n[own[y[q]]]
                     most = np.minimum(nu - np.bitwise_count(u & ~v).sum(axis=1), nv - np.bitwise_count(v & ~u).sum(axis=1))
-                    hit = most >= least_overlap(nu + nv, percent)
+                    need = least_overlap(nu + nv, percent)
+                    hit = np.flatnonzero(most >= need)
+                    if forest and len(hit):
+                        ranked = hit[np.lexsort((-(most - need)[hit] * 1000 // need[hit], q[hit]))]
+                        hit = ranked[np.concatenate(([True], q[ranked][1:] != q[ranked][:-1]))]
                     found.append(np.stack((doc[own[x[p[hit]]]], doc[own[y[q[hit]]]]), axis=1))
         pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
         pairs = np.unique(np.sort(pairs, axis=1), axis=0)
@@ -278,6 +287,19 @@ def _compare(percent: int, step: int = 128):
     return run
 
 
+def _tile_pairs(members: DataFrame, slim: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """(a, b): pairs of the tiles' documents, compared by bitmaps in buckets of tiles and tile blocks."""
+    members = durable(members)
+    cuts = F.ceil(F.col("members") / TILE)
+    other = F.explode(F.sequence(F.lit(0).cast("long"), cuts - 1)).alias("other")
+    dealt = members.withColumn("block", F.pmod("place", cuts)).select("*", other)
+    dealt = dealt.select("tile", "doc", "comp", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"))
+    buckets = max(1, members.count() // 40_000)
+    bucket = F.pmod(F.xxhash64("tile", "left", "right"), F.lit(buckets)).alias("bucket")
+    held = dealt.join(slim, "doc").select("*", bucket)
+    return held.groupBy("bucket").applyInArrow(_compare(percent, forest), "a long, b long").distinct()
+
+
 def join(docs: DataFrame, size: int = 3, percent: int = 90, key: str = "doc_id") -> DataFrame:
     """(key, n_shingles, component_id) for every row of ``docs``; ``key`` is a long."""
     ship_package(docs.sparkSession)
@@ -302,16 +324,15 @@ def join(docs: DataFrame, size: int = 3, percent: int = 90, key: str = "doc_id")
     records = (leads.agg(F.sum("n")).first()[0] or 0) * share
     blocks = source.mapInArrow(_part_blocks(size, percent, spread.ranges_for(records)), spread.BLOCKS)
     members = durable(spread.by_range(blocks, _tile_members, "tile long, members long, place long, doc long, comp long"))
-    cuts = F.ceil(F.col("members") / TILE)
-    other = F.explode(F.sequence(F.lit(0).cast("long"), cuts - 1)).alias("other")
-    dealt = members.withColumn("block", F.pmod("place", cuts)).select("*", other)
-    dealt = dealt.select("tile", "doc", "comp", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"))
-    buckets = max(1, members.count() // 40_000)
-    bucket = F.pmod(F.xxhash64("tile", "left", "right"), F.lit(buckets)).alias("bucket")
-    held = dealt.join(reps.select(F.col(key).alias("doc"), "n", "bits"), "doc").select("*", bucket)
-    pairs = held.groupBy("bucket").applyInArrow(_compare(percent), "a long, b long").distinct()
-    second = _linked(docs, pairs, key, size, percent)
-    merged = spread.components(first.unionByName(second)).withColumnRenamed("node", "rep")
+    slim = reps.select(F.col(key).alias("doc"), "n", "bits")
+    # the likeliest link of each document first: what they tie together needs no other pair
+    likely = _linked(docs, _tile_pairs(members, slim, percent, forest=True), key, size, percent)
+    grouped = durable(spread.components(first.unionByName(likely)).withColumnRenamed("node", "doc"))
+    members = members.join(grouped, "doc", "left").withColumn("comp", F.coalesce("component", "comp")).drop("component")
+    spans = members.groupBy("tile").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("tile")
+    others = _tile_pairs(members.join(spans, "tile", "left_semi"), slim, percent, forest=False)
+    second = _linked(docs, others, key, size, percent)
+    merged = spread.components(first.unionByName(likely).unionByName(second)).withColumnRenamed("node", "rep")
 
     placed = features.select(key, *same).join(classes, same, "left").join(merged, "rep", "left")
     return placed.select(key, F.col("n").alias("n_shingles"), F.coalesce("component", "rep", key).alias("component_id"))
