@@ -395,6 +395,38 @@ finished AS (SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY maptaxlot ORDER BY pri, area DESC, geohash11, cid) AS rn FROM pool) WHERE rn = 1)""",
 )
 add("clean_taxlots", "SELECT county, maptaxlot, geohash11, round(area, 3) AS planar_area, true AS has_outline FROM finished", *FINISHED)
+
+
+def _washington(*parts: str) -> tuple[str, ...]:
+    """The Oregon steps over Washington's cleaned parcels, with the land use carried along."""
+    text = "\n,,\n".join(parts).replace("or_clean", "wa_keyed").replace("county, maptaxlot, cid", "county, landuse_cd, maptaxlot, cid")
+    text = text.replace("ORDER BY area DESC, county)", "ORDER BY area DESC, county, landuse_cd NULLS FIRST)")
+    text = text.replace("l.county, a.area", "l.county, l.landuse_cd, a.area").replace("SELECT county, CASE", "SELECT county, landuse_cd, CASE")
+    text = text.replace("SELECT county, maptaxlot, CAST((x1", "SELECT county, landuse_cd, maptaxlot, CAST((x1")
+    text = text.replace("SELECT county, maptaxlot, area, geohash11, 1", "SELECT county, landuse_cd, maptaxlot, area, geohash11, 1")
+    return tuple(text.split("\n,,\n"))
+
+
+add(
+    "clean_taxlots_wa",
+    "SELECT county, maptaxlot, landuse_cd, geohash11, round(area, 3) AS planar_area FROM finished",
+    b.MEASURED,
+    b.WASHINGTON_EXCLUDED,
+    """wa_clean AS (SELECT m.*, coalesce(nullif(trim(orig_key), ''), county_fips || '_' || geohash11) AS maptaxlot
+  FROM fx_measured m WHERE NOT EXISTS (SELECT 1 FROM wa_excluded e WHERE e.id = m.id))""",
+    b.centroid_geohash_cte("wa_clean", "wa_hash", "centre11"),
+    f"""wa_keyed AS (SELECT * EXCLUDE (maptaxlot, centre11), CASE WHEN regexp_matches(maptaxlot, '{b.WASHINGTON_WORDS}', 'i') OR trim(maptaxlot) = '0'
+  THEN maptaxlot || '_' || upper(centre11) ELSE maptaxlot END AS maptaxlot FROM wa_hash)""",
+    *_washington(
+        CLUSTERS[-1],
+        b.OREGON_UNIQUE,
+        union_cells("clustered", "county, maptaxlot, cid", "cells1"),
+        "round1 AS (SELECT county, maptaxlot, cid, CAST(sum((w - v) * (yw - yv)) AS DOUBLE) AS area FROM cells1 GROUP BY ALL)",
+        ROUND2,
+        b.geohash_cte("round2", "named2", "centre11", b.longitude("mid_x"), b.latitude("mid_y"), 6),
+        FINISHED[-1],
+    ),
+)
 add(
     "dissolve_near_copies",
     "SELECT id, round(CAST((x1 - x0) * (y1 - y0) AS DOUBLE), 1) AS area, true AS close FROM fx_parcels",

@@ -470,9 +470,9 @@ def repaired_geohash(spark, sf):
 
 @query
 def clean_taxlots_wa(spark, sf):
-    """Washington rules end to end, true distances; no closed form."""
-    final = tx.clean_parcels(_washington_raw(spark, sf), c.WASHINGTON).final
-    return final.select("county", "maptaxlot", "landuse_cd", "geohash11", F.round("area_sqm", 1).alias("area_sqm"))
+    """Washington rules end to end, with planar distances so that the result has a closed form."""
+    final = tx.clean_parcels(_washington_raw(spark, sf), c.WASHINGTON, distance_srid=3857, merge_srid=3857).final
+    return final.select("county", "maptaxlot", "landuse_cd", "geohash11", F.round(g.area(F.col("geom")), 3).alias("planar_area"))
 
 
 # ---- soil ---------------------------------------------------------------------------------------
