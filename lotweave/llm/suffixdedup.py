@@ -39,7 +39,8 @@ from lotweave.session import durable, ship_package
 
 SEED = 24
 HOT = 1024
-PART = 1 << 18
+PART = 1 << 17
+FLUSH = 1 << 17
 SETTLED, ASK, ASK_HOT = 0, 1, 2
 _PRIME = np.uint64(0xA24BAED4963EE407)
 
@@ -123,7 +124,7 @@ def _seed_blocks(length: int, ranges: int):
                 for row, position, seed, around in anchors(piece, length):
                     held.append((seed, around, ids[piece.first + row], position))
                     count += len(row)
-                if count > spread.FLUSH:
+                if count > FLUSH:
                     yield from _flush_seeds(held, ranges)
                     held, count = [], 0
         if count:
@@ -328,7 +329,7 @@ def marks(docs: DataFrame, key: str, length: int) -> DataFrame:
     """(doc, marks): what is covered in each document that loses something; ids are unique and not null."""
     total = spread.text_bytes(docs)
     density = 2 / (length - SEED + 2)
-    blocks = docs.select(key, "text").mapInArrow(_seed_blocks(length, spread.ranges_for(total * density)), spread.BLOCKS)
+    blocks = docs.select(key, "text").mapInArrow(_seed_blocks(length, spread.ranges_for(2 * total * density)), spread.BLOCKS)
     ranked = durable(spread.by_range(blocks, _rank_seeds, "doc long, mark long"))
     reach = length - SEED
     whole = 1 << (reach + 1)
@@ -361,7 +362,7 @@ def dedup(docs: DataFrame, length: int = 50, key: str = "doc_id", with_text: boo
     if repeated:  # of rows with one id the longest text is compared
         longest = known.join(twice, key, "left_semi").groupBy(key).agg(F.max(F.struct(F.octet_length("text").alias("n"), "text")).alias("x"))
         single = known.join(twice, key, "left_anti").unionByName(longest.select(key, "x.text"))
-    with spread.batches_of(spark, 1000):
+    with spread.batches_of(spark, 400):
         found = durable(marks(single, key, length))
     fields = "doc long, h long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
 
