@@ -327,12 +327,12 @@ def join(docs: DataFrame, size: int = 3, percent: int = 90, key: str = "doc_id")
     slim = reps.select(F.col(key).alias("doc"), "n", "bits")
     # the likeliest link of each document first: what they tie together needs no other pair
     likely = _linked(docs, _tile_pairs(members, slim, percent, forest=True), key, size, percent)
-    grouped = durable(spread.components(first.unionByName(likely)).withColumnRenamed("node", "doc"))
-    members = members.join(grouped, "doc", "left").withColumn("comp", F.coalesce("component", "comp")).drop("component")
+    grouped = durable(spread.merged_components(grouped, likely))
+    members = members.join(grouped.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "comp")).drop("component")
     spans = members.groupBy("tile").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("tile")
     others = _tile_pairs(members.join(spans, "tile", "left_semi"), slim, percent, forest=False)
     second = _linked(docs, others, key, size, percent)
-    merged = spread.components(first.unionByName(likely).unionByName(second)).withColumnRenamed("node", "rep")
+    merged = spread.merged_components(grouped, second).withColumnRenamed("node", "rep")
 
     placed = features.select(key, *same).join(classes, same, "left").join(merged, "rep", "left")
     return placed.select(key, F.col("n").alias("n_shingles"), F.coalesce("component", "rep", key).alias("component_id"))

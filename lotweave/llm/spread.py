@@ -149,6 +149,19 @@ def components(links: DataFrame) -> DataFrame:
     return star.unionByName(star.select(F.col("component").alias("node"), "component").distinct())
 
 
+def merged_components(known: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) after more links (a, b): only the components they tie together are worked on."""
+    a = known.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    b = known.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    mapped = links.join(a, "a", "left").join(b, "b", "left")
+    tied = durable(mapped.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b"))
+    if tied.isEmpty():
+        return known
+    above = durable(components(tied))
+    moved = known.join(above.toDF("component", "_new"), "component", "left").select("node", F.coalesce("_new", "component").alias("component"))
+    return moved.unionByName(above.join(known.select("node"), "node", "left_anti"))
+
+
 def _state(edges: DataFrame) -> tuple:
     """Number of edges and a sum of their hashes, equal for equal sets."""
     mark: Column = F.xxhash64("u", "v")
