@@ -199,13 +199,21 @@ def import_vector(
     path: str,
     state: str,
     table: str,
-    schema: T.StructType,
+    schema: T.StructType | None = None,
     srid: int | None = None,
     t_srid: int | None = None,
     mode: str = "error",
 ) -> DataFrame:
-    """Load GeoJSON (or a delimited file with a ``wkt`` column) into staging; returns quarantined rows."""
-    if path.lower().endswith((".csv", ".txt")):
+    """Load GeoJSON (or a delimited file with a ``wkt`` column) into staging; returns quarantined rows.
+
+    GeoJSON without a ``schema`` is read once more to infer one.
+    """
+    delimited = path.lower().endswith((".csv", ".txt"))
+    if schema is None:
+        if delimited:
+            raise ValueError("a delimited file needs a schema")
+        schema = vector.geojson_schema(ws.spark, path)
+    if delimited:
         loaded, bad = vector.read_wkt_csv(ws.spark, path, schema, srid=srid or 4326, target=t_srid)
     else:
         loaded, bad = vector.read_geojson(ws.spark, path, schema, srid, t_srid)

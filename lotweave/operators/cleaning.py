@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from lotweave.functions import geometry as g
 from lotweave.functions import text
-from lotweave.functions.crs import reproject
-from lotweave.functions.geohash import geohash_box, geohash_centroid
+from lotweave.functions.crs import reproject, reproject_point
+from lotweave.functions.geohash import geohash_box, geohash_centroid, geohash_degrees
 from lotweave.functions.reuse import built_once, with_computed
 
 
@@ -140,11 +140,6 @@ def unique_rows(df: DataFrame, carried: Sequence[str] = (), key: str = "maptaxlo
     return sizes.where("n = 1").select("lone.*", key)
 
 
-def unique_keys(df: DataFrame, key: str = "maptaxlot", row_id: str = "id") -> DataFrame:
-    """Whole rows whose key occurs once; NULL keys never match."""
-    return df.join(unique_rows(df, (), key, row_id).select(row_id), row_id, "left_semi")
-
-
 def duplicate_keys(df: DataFrame, key: str = "maptaxlot") -> DataFrame:
     """Rows whose key occurs more than once."""
     return df.join(key_counts(df, key).where("key_rows > 1").select(key), key, "left_semi")
@@ -173,12 +168,20 @@ def drop_thin(df: DataFrame, limit: float = UNIQUE_STRIP_LIMIT) -> DataFrame:
     return df.where(~F.coalesce(text.thinness(F.col("area_sqm"), F.col("perimeter")) < limit, F.lit(False)))
 
 
-def suffix_conflicts(merged: DataFrame, length: int, srid: int = 3857, key: str = "maptaxlot") -> DataFrame:
-    """Merged clusters that still share a key get a centroid geohash appended."""
-    counts = key_counts(merged, key)
-    spot = F.upper(geohash_centroid(F.col("geom"), length, srid))
-    renamed = F.when(F.col("key_rows") > 1, F.concat(F.col(key), F.lit("_"), spot)).otherwise(F.col(key))
-    return merged.join(counts, key, "left").withColumn(key, renamed).drop("key_rows")
+def suffix_conflicts(
+    merged: DataFrame, length: int, srid: int = 3857, key: str = "maptaxlot", into: str | None = None, spot: Column | None = None
+) -> DataFrame:
+    """Rows whose key is not theirs alone get a geohash appended, of their centroid or of ``spot``.
+
+    The new key replaces ``key``, or stands beside it in ``into``.
+    """
+    if spot is None:
+        place = geohash_centroid(F.col("geom"), length, srid)
+    else:
+        there = reproject_point(spot, srid, 4326)
+        place = geohash_degrees(there["x"], there["y"], length)
+    renamed = F.when(F.col("key_rows") > 1, F.concat(F.col(key), F.lit("_"), F.upper(place))).otherwise(F.col(key))
+    return merged.join(key_counts(merged, key), key, "left").withColumn(into or key, renamed).drop("key_rows")
 
 
 def first_per_key(df: DataFrame, key: str, order: list[Column], row_id: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotweave.functions.crs import reproject
+from lotweave.sources.catalog import declared_schema
 from lotweave.sources.features import feature_rows, with_geometry
 
 _CRS = "crs struct<properties:struct<name:string>>"
@@ -82,3 +83,9 @@ def infer_geojson_schema(documents: DataFrame, body: str = "value") -> DataFrame
             .alias("sql_type"),
         )
     )
+
+
+def geojson_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Inferred schema of GeoJSON documents, fields in order of name."""
+    found = infer_geojson_schema(spark.read.option("wholetext", True).text(path)).orderBy("name").collect()  # a row a field
+    return declared_schema(",".join(r.name for r in found), ",".join(r.sql_type for r in found))

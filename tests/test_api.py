@@ -185,6 +185,8 @@ def test_import_vector(spark, ws, tmp_path):
     assert [(r.n, r.reason) for r in bad.collect()] == [(0, "missing geometry")]
     row = ws.staging("oregon", "c").select("srid", F.col("geom")[0][0][0]["x"].alias("x")).first()
     assert row.srid == 3857 and row.x == pytest.approx(-13692297.37, abs=0.01)
+    api.import_vector(ws, str(tmp_path / "c.geojson"), "oregon", "inferred")
+    assert ws.staging("oregon", "inferred").schema["n"].dataType.simpleString() == "int"
 
 
 def _stage(ws, spark, layer, rows, schema, state="oregon"):
