@@ -203,29 +203,63 @@ def closed_and_sized(geom: Column) -> Column:
     )
 
 
+def segments_cross(e: Column, f: Column) -> Column:
+    """True when two segments cross at a point inside both."""
+
+    def side(s, x, y):
+        return F.signum((s["x2"] - s["x1"]) * (y - s["y1"]) - (s["y2"] - s["y1"]) * (x - s["x1"]))
+
+    across_e = side(e, f["x1"], f["y1"]) * side(e, f["x2"], f["y2"]) < 0
+    return across_e & (side(f, e["x1"], e["y1"]) * side(f, e["x2"], e["y2"]) < 0)
+
+
+CROSSING_BLOCK = 64  # edges compared as one block, in order of x
+
+
 def self_crosses(geom: Column) -> Column:
-    """True when two segments of one ring that are not neighbours meet."""
-
-    def crossed(ring):
-        def test(segs):
-            n = F.size(segs)
-            numbered = F.transform(segs, lambda e, i: F.struct(e.alias("e"), i.alias("i")))
-            return let(
-                numbered,
-                lambda items: F.exists(
-                    items,
-                    lambda p: F.exists(
-                        items,
-                        lambda r: (r["i"] - p["i"] > 1)
-                        & (r["i"] - p["i"] < n - 1)
-                        & segments_meet(p["e"], r["e"]),
-                    ),
-                ),
-            )
+    """True when segments of one ring that are not neighbours meet, or segments of two rings cross.
+
+    Edges are sorted by x and compared in blocks, and only blocks whose ranges
+    of x overlap, so a long outline costs little more than its length.
+    """
+
+    def numbered(ring, r):
+        edge = lambda e, i: F.struct(
+            F.least(e["x1"], e["x2"]).alias("lo"), F.greatest(e["x1"], e["x2"]).alias("hi"),
+            r.alias("r"), i.alias("i"), (F.size(ring) - 1).alias("n"), e.alias("e"),
+        )
+        return F.transform(_ring_edges(ring), edge)
 
-        return let(_ring_edges(ring), test)
+    def in_blocks(items):
+        steps = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / CROSSING_BLOCK).cast("int"))
+        parts = F.transform(steps, lambda k: F.slice(items, k * CROSSING_BLOCK + 1, CROSSING_BLOCK))
+        return F.transform(
+            parts,
+            lambda part, k: F.struct(
+                k.alias("k"), part[0]["lo"].alias("lo"), F.array_max(F.transform(part, lambda p: p["hi"])).alias("hi"), part.alias("items")
+            ),
+        )
+
+    def clash(p, q):
+        apart = F.abs(p["i"] - q["i"])
+        own = (p["r"] == q["r"]) & (apart > 1) & (apart < p["n"] - 1) & segments_meet(p["e"], q["e"])
+        return (p["lo"] <= q["hi"]) & (q["lo"] <= p["hi"]) & (own | ((p["r"] != q["r"]) & segments_cross(p["e"], q["e"])))
+
+    def crossed(blocks):
+        return F.exists(
+            blocks,
+            lambda a: F.exists(
+                blocks,
+                lambda b: (b["k"] >= a["k"])
+                & (b["lo"] <= a["hi"])
+                & F.exists(a["items"], lambda p: F.exists(b["items"], lambda q: clash(p, q))),
+            ),
+        )
 
-    return F.exists(F.filter(rings(geom), lambda ring: F.size(ring) >= 4), crossed)
+    long_enough = F.filter(rings(geom), lambda ring: F.size(ring) >= 4)
+    edges_ = F.flatten(F.transform(long_enough, numbered))
+    some = F.coalesce(F.size(long_enough) > 0, F.lit(False))
+    return F.when(geom.isNull(), F.lit(None)).when(some, let(F.array_sort(edges_), lambda items: let(in_blocks(items), crossed))).otherwise(False)
 
 
 def segments_meet(e: Column, f: Column) -> Column:

@@ -626,15 +626,19 @@ SELECT 'not null' AS rule, 'key' AS "column", count(*) FILTER (WHERE orig_key IS
 UNION ALL SELECT 'not null', 'landuse_cd', count(*) FILTER (WHERE landuse_cd IS NULL) FROM fx_parcels
 UNION ALL SELECT 'length 7', 'key', count(*) FILTER (WHERE length(trim(orig_key)) > 7) FROM fx_parcels
 UNION ALL SELECT 'length 6', 'county', count(*) FILTER (WHERE length(county) > 6) FROM fx_parcels
-UNION ALL SELECT 'polygonal', 'geom', CAST(0 AS BIGINT)
+UNION ALL SELECT 'polygonal', 'geom', count(*) FILTER (WHERE id % 10 < 2) FROM fx_parcels
 UNION ALL SELECT 'unique', 'key', count(trim(orig_key)) - count(DISTINCT trim(orig_key)) FROM fx_parcels""",
     b.PARCELS,
 )
-_PROFILED = ("id", "county", "county_fips", "orig_key", "landuse_cd", "x0", "y0", "x1", "y1")
+_PROFILED = {
+    "id": "bigint", "county": "string", "county_fips": "string", "orig_key": "string", "landuse_cd": "bigint",
+    "x0": "bigint", "y0": "bigint", "x1": "bigint", "y1": "bigint",
+}
 add(
     "export_profile",
     " UNION ALL ".join(
-        f"SELECT '{c}' AS name, count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM fx_parcels" for c in _PROFILED
+        f"SELECT '{c}' AS name, count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls, '{kind}' AS type, true AS nullable, true AS same FROM fx_parcels"
+        for c, kind in _PROFILED.items()
     ),
     b.PARCELS,
 )

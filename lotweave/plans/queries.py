@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +24,7 @@ from lotweave.plans import counties as cty
 from lotweave.plans import derived as d
 from lotweave.plans import layers as lay
 from lotweave.plans import taxlots as tx
-from lotweave.session import durable
+from lotweave.session import durable, ensure_checkpoint_dir
 from lotweave.sources import catalog, export, features, pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -681,7 +683,10 @@ def metadata_catalog(spark, sf):
 
 @query
 def contract_check(spark, sf):
-    rows = d.parcels(spark, sf).select(F.trim("orig_key").alias("key"), "county", "landuse_cd", "geom")
+    """Violations of every rule; some outlines are empty and some are lines."""
+    line = F.transform("geom", lambda part: F.transform(part, lambda ring: F.slice(ring, 1, 2)))
+    geom = F.when(F.col("id") % 10 == 0, F.slice("geom", 1, 0)).when(F.col("id") % 10 == 1, line).otherwise(F.col("geom"))
+    rows = d.parcels(spark, sf).select(F.trim("orig_key").alias("key"), "county", "landuse_cd", geom.alias("geom"))
     contract = export.Contract(
         required=("key", "landuse_cd"), unique=("key",), lengths={"key": 7, "county": 6}, polygonal=("geom",)
     )
@@ -690,4 +695,12 @@ def contract_check(spark, sf):
 
 @query
 def export_profile(spark, sf):
-    return export.content_profile(d.parcels(spark, sf).drop("geom")).select("name", "rows", "nulls")
+    """Columns of an export, and whether what is read back has the same content."""
+    rows = d.parcels(spark, sf).drop("geom").withColumn("surrogate", F.col("id") + 1)
+    path = f"{ensure_checkpoint_dir(spark)}/export-{uuid.uuid4().hex}"
+    export.export_table(rows, path, "surrogate")
+    back = spark.read.parquet(path)
+    wrong = export.verify_export(rows, back, "surrogate").select("name", F.lit(False).alias("same"))
+    shape = export.schema_profile(back).select("name", "type", "nullable")
+    profile = export.content_profile(back).join(shape, "name").join(wrong, "name", "left")
+    return profile.select("name", "rows", "nulls", "type", "nullable", F.coalesce("same", F.lit(True)).alias("same"))

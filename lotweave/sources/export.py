@@ -94,7 +94,8 @@ def violations(df: DataFrame, contract: Contract) -> DataFrame:
     for c, limit in contract.lengths.items():
         checks[f"length {limit}", c] = F.count_if(F.length(c) > limit)
     for c in contract.polygonal:
-        checks["polygonal", c] = F.count_if(F.size(c) == 0)
+        short = F.exists(F.flatten(c), lambda ring: F.size(ring) < 4)
+        checks["polygonal", c] = F.count_if((F.size(c) == 0) | short)
     parts = []
     if checks:
         names = {f"m{i}": pair for i, pair in enumerate(checks)}

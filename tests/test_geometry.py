@@ -171,3 +171,13 @@ def test_large_outline_is_quick():
 def test_open_boundary_is_an_error():
     with pytest.raises(ov.OpenBoundary):
         ov._walk(np.array([[0.0, 0.0, 1.0, 0.0], [1.0, 0.0, 1.0, 1.0]]))
+
+
+def test_crossing_between_rings_and_long_rings(spark):
+    crossing = [[HOLED[0][0], [(2, 2), (2, 9), (4, 9), (4, 2), (2, 2)]]]
+    touching = [[HOLED[0][0], [(0, 2), (2, 4), (4, 2), (0, 2)]]]
+    ring = [tuple(p) for p in _circle(3000).tolist()]
+    bent = [*ring[:1500], (1000.0, 2500.0), (1000.0, 1500.0), *ring[1500:]]
+    rows = [(1, as_geom(crossing)), (2, as_geom(touching)), (3, as_geom(HOLED)), (4, as_geom([[[*ring, ring[0]]]])), (5, as_geom([[[*bent, bent[0]]]])), (6, as_geom(BOW_TIE))]
+    got = {r.id: r.v for r in frame(spark, rows).select("id", g.self_crosses(F.col("geom")).alias("v")).collect()}
+    assert got == {1: True, 2: False, 3: False, 4: False, 5: True, 6: True}
