@@ -160,7 +160,7 @@ def drop_repeated_geohash(
 def unique_parcels(cleaned: DataFrame) -> DataFrame:
     """Whole rows with a key of their own, one per geohash."""
     kept = drop_repeated_geohash(unique_rows(cleaned, ["geohash11"]))
-    return cleaned.join(kept.select("id"), "id", "left_semi")
+    return cleaned.join(kept.select("id", "maptaxlot"), ["id", "maptaxlot"], "left_semi")
 
 
 def drop_thin(df: DataFrame, limit: float = UNIQUE_STRIP_LIMIT) -> DataFrame:
@@ -185,13 +185,15 @@ def suffix_conflicts(
 
 
 def first_per_key(df: DataFrame, key: str, order: list[Column], row_id: str) -> DataFrame:
-    """Insert-or-ignore: one row per key, chosen by ``order`` and then by row id."""
-    chosen = (
-        df.groupBy(key)
-        .agg(F.min(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.col(row_id).alias("pick"))).alias("best"))
-        .select(F.col("best.pick").alias(row_id))
-    )
-    return df.join(chosen, row_id, "left_semi")
+    """Insert-or-ignore: one row per key, chosen by ``order`` and then by row id.
+
+    The chosen row is found again by key and id, so ids need be unique within a key only.
+    """
+    ranks = [c.alias(f"o{i}") for i, c in enumerate(order)]
+    best = df.groupBy(key).agg(F.min(F.struct(*ranks, F.col(row_id).alias("pick"))).alias("best"))
+    chosen = best.select(F.col(key).alias("_key"), F.col("best.pick").alias("_pick"))
+    same = (F.col(row_id) == F.col("_pick")) & F.col(key).eqNullSafe(F.col("_key"))
+    return df.join(chosen, same, "left_semi")
 
 
 def insert_ignore(target: DataFrame, incoming: DataFrame, key: str, order: list[Column], row_id: str) -> DataFrame:
