@@ -8,7 +8,7 @@ Equal lines are found by hash, as counts and minima that add up before the shuff
 others, a line is cut into ``threshold + 1`` segments, of which at most ``threshold`` can be hit
 by the edits. It is filed under its length and each segment, and looks up the substrings
 of lines no longer than itself at the places where the alignment leaves them. Files and
-look-ups travel as blocks by key range; equal lines of a task go once. Where both meet, byte
+look-ups travel as blocks by key range; a task sends a copy only if it sent no earlier one. Where both meet, byte
 frequencies bound the distance from below. Pairs that remain have their lines fetched and the
 distance computed in a band of bits.
 
@@ -99,10 +99,14 @@ def _lines(min_bytes: int):
 
 
 def _files(min_bytes: int, threshold: int, ranges: int):
-    """Blocks of (key, role, line hash, document, line, frequencies)."""
+    """Blocks of (key, role, line hash, document, line, frequencies).
+
+    Rows come in any order: a copy goes out unless an earlier line with the same bytes went before it,
+    so the earliest copy always does, and ``_meet`` keeps only that.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        sent: dict[int, tuple[int, int]] = {}  # place of the earliest copy that went out
         held: list[list[np.ndarray]] = []
         count = 0
         for batch in batches:
@@ -111,14 +115,17 @@ def _files(min_bytes: int, threshold: int, ranges: int):
                 row, number, starts, ends = line_spans(piece)
                 long_ = np.flatnonzero(ends - starts >= min_bytes)
                 whole = tk.word_hashes(piece.data, starts[long_], ends[long_])
+                doc = ids[piece.first + row[long_]].astype(np.int64)
+                order = np.lexsort((number[long_], doc, whole))
+                order = order[np.concatenate(([True], np.diff(whole[order]) != 0))[: len(order)]]
                 keep = []
-                for k, h in enumerate(whole.tolist()):
-                    if h not in seen:
-                        seen.add(h)
+                for k, h, *place in zip(order.tolist(), whole[order].tolist(), doc[order].tolist(), number[long_[order]].tolist()):
+                    if h not in sent or tuple(place) < sent[h]:
+                        sent[h] = tuple(place)
                         keep.append(k)
-                if len(seen) > spread.FLUSH:
-                    seen.clear()
-                keep = np.array(keep, dtype=np.int64)
+                if len(sent) > spread.FLUSH:
+                    sent.clear()
+                keep = np.sort(np.array(keep, dtype=np.int64))
                 if not len(keep):
                     continue
                 long_, whole = long_[keep], whole[keep]

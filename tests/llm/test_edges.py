@@ -148,6 +148,15 @@ def test_line_dedup_edits(spark):
     assert any(d for *_, d in expected.values())
 
 
+def test_line_dedup_any_order(spark):
+    x, y = "a line of text that is compared with others of it", "a line of text that is compared with others of iz"
+    for other in (5, 1):
+        rows = [(10, x), (other, y), (3, "another line, long enough to be compared, comes first\n" + x), (8, x), (2, "z" * 50)]
+        for given in (rows, rows[::-1], sorted(rows)):
+            got = linededup.repeats(spark.createDataFrame(given, "doc_id long, text string").coalesce(1)).collect()
+            assert {(r.doc_id, r.line): (r.first_doc, r.first_line, r.distance) for r in got} == brute.line_repeats(rows)
+
+
 def test_banded_distance():
     import random
 
