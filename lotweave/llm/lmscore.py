@@ -1,13 +1,18 @@
 """Cross-entropy difference of two matched n-gram models (Moore and Lewis, 2010).
 
 The target model is counted on the documents that ``target`` marks, the background model on
-all documents. Both share one vocabulary, the slots that hash words and word pairs, with the
-same smoothing, so their per-token losses can be subtracted. Every n-gram of every row is
-counted into a slot; none is dropped, and the tables have a fixed bound (``2**UNI + 2**BI``
-counts for each model). Tasks add up their rows first and the shuffle adds the tables.
+all documents. Both share one vocabulary and the same smoothing, so their per-token losses
+can be subtracted. Words and word pairs are told apart by 64-bit hashes and counted exactly:
+the tables grow with the corpus and are never in one place.
+
+Documents are dealt, compressed, into chunks of about ``CHUNK`` bytes by their key. A chunk sends each of
+its different n-grams once, with its own counts, as blocks by key range. A range adds up the
+counts of all chunks and answers every block in its order; a chunk then scores its documents
+with the answers. A common n-gram is thus one record a chunk, however often it occurs.
 
 A bigram's probability is interpolated: ``MIX`` times its share among the pairs of its first
-word and the rest from smoothed unigrams. A text begins with a start mark.
+word and the rest from smoothed unigrams, whose vocabulary has as many entries as there are
+different words, ``2**UNI`` at least. A text begins with a start mark.
 
 Defined cases: null or empty text has no tokens and NULL losses; a document that several
 label rows name is a target if any says so; without targets both models are the background;
@@ -20,19 +25,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lotweave.llm import spread
 from lotweave.llm import textkit as tk
-from lotweave.session import ship_package
+from lotweave.session import durable, ship_package
 
-UNI, BI = 16, 18
+UNI = 16
 MIX, SMOOTH = 0.7, 0.5
+CHUNK = 8 << 20
+RECORDS = 1 << 21  # of a range
 _START = np.uint64(0x57A27)
+_ASKED = [np.int64, np.uint8, *[np.uint32] * 4]  # keys in order: their differences are packed
 
 
 def slots(piece: tk.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Slot of each token, of the token before it, of the pair, and the tokens before each row."""
+    """Key of each token, of the token before it, of the pair, and the tokens before each row."""
     data = tk.LOWER[piece.data]
     starts, ends, bounds = tk.word_spans(data, piece.offsets)
     words = tk.word_hashes(data, starts, ends)
@@ -41,79 +51,124 @@ def slots(piece: tk.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
         before[1:] = words[:-1]
         before[bounds[:-1][np.diff(bounds) > 0]] = _START
     pair = tk.mix(before * np.uint64(0xA24BAED4963EE407) + words)
-    shrink = lambda x, bits: (x >> np.uint64(64 - bits)).astype(np.int64)
-    return shrink(words, UNI), shrink(tk.mix(before), UNI), shrink(pair, BI), bounds
+    return words, before, pair, bounds
 
 
-def count(docs: DataFrame) -> DataFrame:
-    """(kind, slot, target, background): counts of tokens (0), first words of pairs (1) and pairs (2)."""
+def _dealt(docs: DataFrame) -> DataFrame:
+    """(chunk, rows): the rows of each batch that fall to a chunk, as compressed Arrow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = (1 << UNI, 1 << UNI, 1 << BI)
-        totals = [np.zeros((2, n), dtype=np.int64) for n in sizes]
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=9))
         for batch in batches:
-            wanted = batch.column(1).to_numpy(zero_copy_only=False)
-            for piece in tk.slices(batch.column(0)):
-                *kinds, bounds = slots(piece)
-                inside = np.repeat(wanted[piece.first : piece.first + piece.rows], np.diff(bounds))
-                for total, own in zip(totals, kinds):
-                    total[0] += np.bincount(own[inside], minlength=total.shape[1])
-                    total[1] += np.bincount(own, minlength=total.shape[1])
-        for kind, total in enumerate(totals):
-            at = np.flatnonzero(total[1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(at), kind, np.int32)), pa.array(at.astype(np.int32)), *(pa.array(t[at]) for t in total)],
-                ["kind", "slot", "target", "background"],
-            )
-
-    parts = docs.select("text", "is_target").mapInArrow(run, "kind int, slot int, target long, background long")
-    return parts.groupBy("kind", "slot").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-
-
-def tables(counted: DataFrame) -> list[dict[str, np.ndarray]]:
-    """Target and background model from the summed counts, whose number is bounded."""
-    rows = counted.toPandas()
-    out = []
-    for name in ("target", "background"):
-        by = [np.zeros(n) for n in (1 << UNI, 1 << UNI, 1 << BI)]
-        for kind, table in enumerate(by):
-            own = rows[rows.kind == kind]
-            table[own.slot.to_numpy()] = own[name].to_numpy()
-        token, first, pair = by
-        out.append({"token": (token + SMOOTH) / (token.sum() + SMOOTH * len(token)), "first": first, "pair": pair})
-    return out if out[0]["first"].any() else [out[1], out[1]]
-
-
-def losses(model: dict[str, np.ndarray], token: np.ndarray, before: np.ndarray, pair: np.ndarray) -> np.ndarray:
-    share = np.minimum(model["pair"][pair] / np.maximum(model["first"][before], 1.0), 1.0)
-    return -np.log(MIX * share + (1 - MIX) * model["token"][token])
+            chunk = batch.column(0).to_numpy()
+            order = np.argsort(chunk, kind="stable")
+            for own in np.split(order, np.flatnonzero(np.diff(chunk[order])) + 1) if len(order) else ():
+                sink = pa.BufferOutputStream()
+                rows = batch.select([1, 2]).take(pa.array(own))
+                with pa.ipc.new_stream(sink, rows.schema, options=options) as stream:
+                    stream.write_batch(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk[own[0]]], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "rows"]
+                )
+
+    return docs.mapInArrow(run, "chunk long, rows binary")
+
+
+def _rows(group: pa.Table) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in group.column("rows")])
+
+
+def _grams(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of each row, the different keys in order, and the place of every token, token before and pair among them."""
+    pieces = [slots(piece) for piece in tk.slices(texts)]
+    sizes = np.concatenate([np.diff(p[3]) for p in pieces])
+    keys, place = np.unique(np.concatenate([p[k] for k in range(3) for p in pieces]), return_inverse=True)
+    return sizes, keys, place.reshape(3, -1)
+
+
+def count(docs: DataFrame, marked: DataFrame, key: str, ranges: int) -> DataFrame:
+    """(chunk, range, records, block, words, target, background): the summed counts of each chunk's n-grams, in its order.
+
+    Counts are those of a token or pair in the target and in all, and those of a word as the first of a pair. The last three, over all rows, are the number of different words and of tokens in the two models.
+    """
+
+    def ask(group: pa.Table, marks: pa.Table) -> pa.Table:
+        out = []
+        if len(group):
+            rows = _rows(group)
+            wanted = pc.is_in(rows.column(key), value_set=marks.column(key).combine_chunks()).to_numpy()
+            sizes, keys, place = _grams(rows.column("text"))
+            inside = np.repeat(wanted, sizes)
+            token, first, pair = ([np.bincount(p[k], minlength=len(keys)) for k in (inside, slice(None))] for p in place)
+            counts = [c.astype(np.uint32) for c in (token[0] + pair[0], token[1] + pair[1], *first)]
+            kind = np.zeros(len(keys), dtype=np.uint8)
+            kind[place[0]] = 1
+            chunk = group.column("chunk")[0].as_py()
+            for block in spread.pack(keys, [tk.signed(keys), kind, *counts], ranges):
+                out.append(pa.RecordBatch.from_arrays([pa.array([chunk]), *block.columns], ["chunk", *block.schema.names]))
+        return pa.Table.from_batches(out, asked)
+
+    def answer(group: pa.Table) -> pa.Table:
+        keys, kind, *counts = spread.unpack(group, _ASKED)
+        different, place = np.unique(keys, return_inverse=True)
+        word = np.zeros(len(different), dtype=bool)
+        word[place[kind == 1]] = True
+        sums = [np.bincount(place, weights=c).astype(np.uint64) for c in counts]
+        totals = [int(word.sum()), *(int(s[word].sum()) for s in sums[:2])]
+        cuts = np.concatenate(([0], np.cumsum(group.column("records").to_numpy())))
+        out = []
+        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+            own = place[a:b]
+            (block,) = spread.pack(np.zeros(len(own), np.uint64), [s[own] for s in sums], 1)
+            out.append(block.column(2)[0].as_py())
+        first = lambda v: pa.array([v, *[0] * (len(out) - 1)], pa.int64())
+        return pa.table(
+            [*(group.column(n) for n in ("chunk", "range", "records")), pa.array(out, pa.binary()), *map(first, totals)],
+            ["chunk", "range", "records", "block", "words", "target", "background"],
+        )
+
+    asked = pa.schema([("chunk", pa.int64()), ("range", pa.int64()), ("records", pa.int64()), ("block", pa.binary())])
+    blocks = docs.groupBy("chunk").cogroup(marked.groupBy("chunk")).applyInArrow(ask, f"chunk long, {spread.BLOCKS}")
+    return spread.by_range(blocks, answer, f"chunk long, {spread.BLOCKS}, words long, target long, background long")
+
+
+def losses(token: np.ndarray, first: np.ndarray, pair: np.ndarray, total: int, words: int) -> np.ndarray:
+    share = np.minimum(pair / np.maximum(first, 1.0), 1.0)
+    return -np.log(MIX * share + (1 - MIX) * (token + SMOOTH) / (total + SMOOTH * max(words, 1 << UNI)))
 
 
 def score(docs: DataFrame, target: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, n_tokens, target_loss, background_loss, difference) for every row; ``target`` lists the keys of target documents."""
-    spark = docs.sparkSession
-    ship_package(spark)
-    marked = target.select(key).dropna().distinct().withColumn("is_target", F.lit(True))
-    # the marks grow with the corpus, so they are never broadcast
-    train = docs.select(key, "text").hint("merge").join(marked, key, "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
-    sent = spark.sparkContext.broadcast(tables(count(train)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, usual = sent.value
-        for batch in batches:
-            for piece in tk.slices(batch.column(1)):
-                token, before, pair, bounds = slots(piece)
-                n = np.diff(bounds)
-                mean = []
-                for model in (wanted, usual):
-                    total = tk.per_row(losses(model, token, before, pair), bounds)
-                    mean.append(pa.array(total / np.maximum(n, 1), mask=n == 0))
-                a, b = (m.to_numpy(zero_copy_only=False) for m in mean)
-                gap = pa.array(np.nan_to_num(a - b), mask=n == 0)
-                ids = batch.column(0).slice(piece.first, piece.rows)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(n.astype(np.int64)), *mean, gap], names)
+    ship_package(docs.sparkSession)
+    total = spread.text_bytes(docs)
+    chunks = total // CHUNK + 1
+    # rows of one key share a chunk, where the marks meet them; rows without a key are dealt by text
+    deal = lambda *of: F.pmod(F.xxhash64(*of), F.lit(chunks)).alias("chunk")
+    dealt = _dealt(docs.select(deal(F.col(key), F.when(F.col(key).isNull(), F.col("text"))), key, "text"))
+    marked = target.select(F.col(key).cast(docs.schema[key].dataType).alias(key)).dropna().distinct().select(deal(F.col(key)), key)
+    # a text of random words has a different n-gram every six bytes
+    counted = durable(count(dealt, marked, key, max(1, -(-total // (6 * RECORDS)))))
+    words, *tokens = (v or 0 for v in counted.agg(F.sum("words"), F.sum("target"), F.sum("background")).first())
+
+    def run(group: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = _rows(group)
+        sizes, keys, place = _grams(rows.column("text"))
+        answers = answers.sort_by("range")
+        counts = spread.unpack(answers, [np.uint64] * 4) if len(answers) else [np.zeros(0, np.uint64)] * 4
+        if len(counts[0]) != len(keys):
+            raise ValueError(f"{len(counts[0])} answers for {len(keys)} n-grams")
+        offsets = np.concatenate(([0], np.cumsum(sizes)))
+        mean = []
+        for which in (0, 1) if tokens[0] else (1, 1):
+            held, first = (counts[k].astype(np.float64) for k in (which, which + 2))
+            sums = tk.per_row(losses(held[place[0]], first[place[1]], held[place[2]], tokens[which], words), offsets)
+            mean.append(sums / np.maximum(sizes, 1))
+        none = sizes == 0
+        return pa.table(
+            [rows.column(key), pa.array(sizes.astype(np.int64)), *(pa.array(m, mask=none) for m in (*mean, mean[0] - mean[1]))], names
+        )
 
     names = [key, "n_tokens", "target_loss", "background_loss", "difference"]
     kind = docs.schema[key].dataType.simpleString()
     fields = f"`{key}` {kind}, n_tokens long, target_loss double, background_loss double, difference double"
-    return docs.select(key, "text").mapInArrow(run, fields)
+    return dealt.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(run, fields)

@@ -117,6 +117,36 @@ def test_suffix_dedup_hot_and_long(spark, monkeypatch):
         assert got == expected
 
 
+def test_lm_score_tells_every_ngram_apart(spark, monkeypatch):
+    """More words than the former tables had slots, in several chunks and ranges, against exact counts."""
+    import math
+    import random
+    from collections import Counter
+
+    random.seed(11)
+    rows = [(i, " ".join([f"w{random.randrange(400_000)}" if random.random() < 0.6 else random.choice("abcde") for _ in range(400)])) for i in range(400)]
+    monkeypatch.setattr(lmscore, "CHUNK", 100_000)
+    monkeypatch.setattr(lmscore, "RECORDS", 20_000)
+    good = {i for i, _ in rows if i % 3 == 0}
+    got = lmscore.score(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i,) for i in good], "doc_id long"))
+    steps = {i: list(zip(["", *t.split()], t.split())) for i, t in rows}
+    size = len({w for s in steps.values() for _, w in s})
+    assert size > 2**lmscore.UNI
+    expected = {}
+    for which, own in (("target_loss", good), ("background_loss", set(steps))):
+        pair = Counter(p for i in own for p in steps[i])
+        first, token = Counter(), Counter()
+        for (b, w), n in pair.items():
+            first[b] += n
+            token[w] += n
+        base = sum(token.values()) + lmscore.SMOOTH * size
+        loss = lambda p: -math.log(0.7 * pair[p] / max(first[p[0]], 1) + 0.3 * (token[p[1]] + lmscore.SMOOTH) / base)
+        expected[which] = {i: sum(map(loss, s)) / len(s) for i, s in steps.items()}
+    found = got.collect()
+    assert len(found) == len(rows)
+    assert all(abs(r[name] - own[r.doc_id]) < 1e-9 for r in found for name, own in expected.items())
+
+
 def test_line_dedup(odd, none):
     single = odd.where("doc_id IS NOT NULL AND doc_id <> 5 AND length(text) < 200000").dropDuplicates(["doc_id"])
     got = {(r.doc_id, r.line): (r.first_doc, r.first_line, r.distance) for r in linededup.repeats(single).collect()}
