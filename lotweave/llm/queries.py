@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotweave.llm import decontaminate, htmltext, jaccard, linededup, lmscore, packing, quality, suffixdedup, toxicity, urlrules
+from lotweave.llm import (
+    alignment,
+    decontaminate,
+    htmltext,
+    jaccard,
+    linededup,
+    lmscore,
+    mixing,
+    packing,
+    quality,
+    suffixdedup,
+    toxicity,
+    urlrules,
+    whitening,
+)
 
 URL_RULES = [
     ("com", "/", "allow"),
@@ -77,6 +91,24 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.repeats(table(spark, sf_dir, "documents"))
 
 
+def both_vocabularies() -> alignment.Files:
+    import public_tokenizers as public
+
+    return alignment.Files(**vocabulary(), pieces=public.path("piece_bpe_32k.model"))
+
+
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), both_vocabularies())
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 OP3_SQL = """
 WITH rules(host, path, verdict) AS (
   VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
@@ -109,6 +141,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_source_mix": op12_source_mix,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES: dict[str, str] = {"op3_url_rules": OP3_SQL}
