@@ -17,7 +17,7 @@ from lotweave.operators.maintenance import pending_zonal, replace_by_key
 from lotweave.operators.spatial_join import DEFAULT_CELL
 from lotweave.plans import counties, layers, taxlots
 from lotweave.session import durable
-from lotweave.sources import catalog, features, pages, vector
+from lotweave.sources import catalog, features, paged, pages, vector
 from lotweave.sources.export import CONTRACTS, apply_defaults, export_table, verify_export
 from lotweave.workspace import Workspace
 
@@ -26,34 +26,110 @@ TABLES = ("taxlots", "coa", "soil", "populationpoint")
 ZONAL_MIN_AREA = 2023.0
 
 
-def load_layer(ws: Workspace, state: str, entry: Mapping, page_root: str, overwrite: bool = False) -> int:
-    """Stored pages of one catalog entry into its staging table; returns how many pages are incomplete.
+def _page_rows(ws: Workspace, entry: Mapping, scanned: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(rows, quarantined) of the good pages of a scan.
 
-    What arrived is staged. Pages that are missing, failed or short go to the
-    staging table ``<layer>_ledger`` and unreadable features to
-    ``<layer>_quarantine``. Rows carry ``id``, the feature's place in the layer.
+    Rows carry ``_page`` and, unless the layer declares a field of that name, ``id``, the feature's place in the layer.
     """
-    layer, mode = entry["layer"], "overwrite" if overwrite else "error"
     schema = catalog.declared_schema(entry["outfields"] or "", entry["dtypes"] or "")
-    stored = pages.read_pages(ws.spark, page_root).where(F.col("layer") == layer)
-    totals = pages.read_totals(ws.spark, page_root).where(F.col("layer") == layer)
-    gaps = durable(pages.page_gaps(stored, totals.withColumn("max_records", F.lit(entry.get("max_records")).cast("long"))))
     extra = catalog.filter_fields(entry["where"], schema.names)
-    good = stored.where("status = 'ok'")
-    rows = features.feature_rows(good, "body", schema, bool(entry["geom"]), ("offset",), extra, "_place")
-    rows = rows.withColumn("id", F.col("offset") + F.col("_place")).drop("offset", "_place")
+    good = scanned.where("status = 'ok' AND position IS NOT NULL")
+    own = [] if "id" in (n.lower() for n in schema.names) else ["id"]
+    placed = good.select("feature", F.col("offset").alias("_page"), (F.col("offset") + F.col("position")).alias("id"))
+    rows = features.typed_features(placed, "feature", schema, bool(entry["geom"]), ("_page", *own), extra)
     rows = catalog.filtered(rows, entry["where"]).drop(*extra)
-    if entry["geom"]:
-        rows, bad = features.with_geometry(rows, "geometry", "geojson", entry["epsg"] or 4326)
-        ws.write_staging(bad, state, f"{layer}_quarantine", mode)
-    ws.write_staging(layers.post_process(state, layer, rows), state, layer, mode)
-    ws.write_staging(gaps, state, f"{layer}_ledger", mode)
+    if not entry["geom"]:
+        return rows, None
+    return features.with_geometry(rows, "geometry", "geojson", entry["epsg"] or 4326)
+
+
+def _gaps(ws: Workspace, entry: Mapping, page_root: str, scanned: DataFrame) -> DataFrame:
+    totals = pages.read_totals(ws.spark, page_root).where(F.col("layer") == entry["layer"])
+    totals = totals.withColumn("max_records", F.lit(entry.get("max_records")).cast("long"))
+    return durable(pages.page_gaps(paged.page_summary(scanned), totals))
+
+
+def _compose(ws: Workspace, state: str, layer: str, mode: str) -> None:
     for name, needed, compose in layers.COMPOSED.get((state, layer), ()):
         if all(ws.has_staging(state, n) for n in needed):
             ws.write_staging(compose(*[_lower(ws.staging(state, n)) for n in needed]), state, name, mode)
+
+
+def load_layer(ws: Workspace, state: str, entry: Mapping, page_root: str, overwrite: bool = False) -> int:
+    """Stored pages of one catalog entry into its staging table; returns how many pages are incomplete.
+
+    What arrived is staged, in one folder a page. Pages that are missing, failed or short go to the
+    staging table ``<layer>_ledger`` and unreadable features to ``<layer>_quarantine``. A layer whose step after loading
+    looks at all rows is also kept as it came, in ``<layer>_pages``.
+    """
+    layer, mode = entry["layer"], "overwrite" if overwrite else "error"
+    scanned = paged.scan(ws.spark, page_root, F.col("layer") == layer, entry.get("max_records"))
+    gaps = _gaps(ws, entry, page_root, scanned)
+    rows, bad = _page_rows(ws, entry, scanned)
+    if bad is not None:
+        ws.write_pages(bad, state, f"{layer}_quarantine", mode)
+    hook = layers.hook_of(state, layer)
+    if hook.by_row:
+        ws.write_pages(hook.run(rows), state, layer, mode)
+    else:
+        ws.write_pages(rows, state, f"{layer}_pages", mode)
+        ws.write_staging(hook.run(ws.staging(state, f"{layer}_pages").drop("_page")), state, layer, mode)
+    ws.write_staging(gaps, state, f"{layer}_ledger", mode)
+    _compose(ws, state, layer, mode)
     return gaps.count()
 
 
+def replay_layer(ws: Workspace, state: str, entry: Mapping, page_root: str) -> int:
+    """Read the pages of a layer's ledger again and put them in their places; returns how many are still incomplete.
+
+    Only the ledger's pages are opened and only their folders written. Pages that are still missing or failed stay
+    in the ledger, and what was staged of them before stays staged.
+    """
+    layer = entry["layer"]
+    ledger = durable(ws.staging(state, f"{layer}_ledger"))
+    due = [r.offset for r in ledger.select("offset").distinct().collect()]  # pages that failed, not rows
+    if not due:
+        return 0
+
+    def scanned(offsets: list[int]) -> DataFrame:
+        return paged.scan(ws.spark, page_root, (F.col("layer") == layer) & F.col("offset").isin(offsets), entry.get("max_records"))
+
+    summary = durable(paged.page_summary(scanned(due)))
+    arrived = [r.offset for r in summary.where("status = 'ok'").select("offset").collect()]
+    if arrived:
+        rows, bad = _page_rows(ws, entry, scanned(arrived))
+        if bad is not None:
+            ws.replace_pages(bad, state, f"{layer}_quarantine", arrived)
+        hook = layers.hook_of(state, layer)
+        if hook.by_row:
+            ws.replace_pages(hook.run(rows), state, layer, arrived)
+        else:
+            ws.replace_pages(rows, state, f"{layer}_pages", arrived)
+            ws.write_staging(hook.run(ws.staging(state, f"{layer}_pages").drop("_page")), state, layer, "overwrite")
+        _compose(ws, state, layer, "overwrite")
+    planned = ledger.select("layer", "offset", "records")
+    again = planned.join(summary.drop("layer"), "offset", "left")
+    short = (F.col("status") == "ok") & (F.col("features") < F.col("records"))
+    status = F.when(F.col("status").isNull(), "missing").when(short, "short").otherwise(F.col("status"))
+    left = durable(again.select("layer", "offset", "records", status.alias("status")).where("status <> 'ok'"))
+    ws.write_staging(left, state, f"{layer}_ledger", "overwrite")
+    return left.count()
+
+
+def replay(ws: Workspace, state: str, entries: DataFrame, page_root: str, names: Sequence[str] | None = None) -> dict[str, str]:
+    """Complete layers whose ledger names pages; a status per layer: ok or incomplete."""
+    full = normalise_state_name(state)
+    known = {row["layer"]: row.asDict() for row in entries.where(F.lower("state") == full).collect()}
+    status = {}
+    for name in names or sorted(known):
+        if name not in known:
+            status[name] = "unknown"
+        elif ws.has_staging(full, f"{name}_ledger"):
+            short = replay_layer(ws, full, known[name], page_root)
+            status[name] = f"incomplete: {short} pages" if short else "ok"
+    return status
+
+
 def ingest(
     ws: Workspace,
     state: str,

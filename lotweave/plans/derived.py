@@ -7,7 +7,7 @@ in SQL, and the volume grows with the source tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lotweave.functions import geometry as g
@@ -282,3 +282,25 @@ def probe_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "IF(user_id % 2 = 0, 'oregon', 'washington') AS state", "'layer' || cast(user_id % 7 AS string) AS layer",
         "event_type <> 'error' AS success", "value AS response_time",
     )
+
+
+#: Records of a stored page.
+PAGE = 2500
+
+
+def stored_pages(spark: SparkSession, sf_dir: str, root: str, failed: str = "false") -> None:
+    """The parcels of every region as page documents; pages that meet ``failed`` hold an error instead."""
+    names = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = parcels(spark, sf_dir).join(names.select(F.col("n_name").alias("county"), F.lower("r_name").alias("layer")), "county")
+    place = F.row_number().over(Window.partitionBy("layer").orderBy("id")) - 1
+    ring = "[[" + ",".join(["[%d,%d]"] * 5) + "]]"
+    corners = [F.col(c) for pair in (("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"), ("x0", "y0")) for c in pair]
+    shape = F.format_string('{"type":"Polygon","coordinates":' + ring + "}", *corners)
+    geometry = F.when(F.col("id") % 41 == 0, "null").otherwise(shape)
+    properties = F.to_json(F.struct(F.col("id").alias("NUMBER"), F.concat(F.lit('a "b]" \\ {'), "county").alias("NAME")))
+    feature = F.format_string('{"type":"Feature","properties":%s,"geometry":%s}', properties, geometry)
+    placed = rows.select("layer", place.alias("place"), feature.alias("feature")).withColumn("offset", F.expr(f"place div {PAGE} * {PAGE}"))
+    pages = placed.groupBy("layer", "offset").agg(F.array_sort(F.collect_list(F.struct("place", "feature"))).alias("held"))
+    body = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.col("held.feature"), ","), F.lit("]}"))
+    value = F.when(F.expr(failed), '{"error":{"code":500}}').otherwise(body)
+    pages.select("layer", "offset", value.alias("value")).write.partitionBy("layer", "offset").text(root)

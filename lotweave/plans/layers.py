@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotweave.functions import geometry as g
 from lotweave.functions import text
+from lotweave.functions.text import normalise_state_name
 from lotweave.operators.dissolve import repair
 from lotweave.operators.overlap import overlay_pairs
 from lotweave.operators.spatial_join import spatial_pairs
@@ -62,19 +66,50 @@ def drop_large(plss: DataFrame, limit: float = LARGE_PLSS) -> DataFrame:
     return fixed.where(~F.coalesce(g.area(F.col("geom")) >= limit, F.lit(False)))
 
 
-POST_PROCESSING = {
-    ("oregon", "fpd"): lambda df: repair(df).drop("repaired"),
-    ("oregon", "sfd"): lambda df: repair(df).drop("repaired"),
-    ("oregon", "zoning"): lambda df: repair(df).drop("repaired"),
-    ("washington", "plss"): drop_large,
+Step = Callable[[DataFrame], DataFrame]
+
+
+@dataclass(frozen=True)
+class Hook:
+    """A layer's step after loading; ``by_row`` if every row's result depends on that row alone."""
+
+    run: Step
+    by_row: bool = True
+
+
+def _repaired(df: DataFrame) -> DataFrame:
+    return repair(df).drop("repaired")
+
+
+POST_PROCESSING: dict[tuple[str, str], Hook] = {
+    ("oregon", "fpd"): Hook(_repaired),
+    ("oregon", "sfd"): Hook(_repaired),
+    ("oregon", "zoning"): Hook(_repaired),
+    ("washington", "plss"): Hook(drop_large),
 }
 
 
+def register_hook(state: str, layer: str, run: Step | None, by_row: bool = True) -> None:
+    """Set a layer's step after loading, or with None take it away.
+
+    A step that looks at other rows too (``by_row=False``) runs over the whole layer
+    whenever a page of it is replayed.
+    """
+    key = (normalise_state_name(state), layer)
+    if run is None:
+        POST_PROCESSING.pop(key, None)
+    else:
+        POST_PROCESSING[key] = Hook(run, by_row)
+
+
 # Layers that are made of others once these are staged: name, inputs in order, and how.
 COMPOSED = {("oregon", "plss2"): (("plss", ("plss1", "plss2"), legal_sections),)}
 
 
+def hook_of(state: str, layer: str) -> Hook:
+    return POST_PROCESSING.get((state, layer), Hook(lambda df: df))
+
+
 def post_process(state: str, layer: str, df: DataFrame) -> DataFrame:
     """Run the layer's registered post-processing, if any."""
-    step = POST_PROCESSING.get((state, layer))
-    return df.transform(step) if step else df
+    return df.transform(hook_of(state, layer).run)

@@ -574,6 +574,31 @@ SELECT 'layer' || (user_id % 7) AS layer, count(*) AS total_batches,
   max(1 + user_id % 5 + CASE WHEN event_type = 'error' THEN 5 ELSE 0 END) AS most_attempts
 FROM events GROUP BY 1""",
 )
+STORED = """
+stored AS (
+  SELECT *, place // 2500 * 2500 AS page FROM (
+    SELECT p.*, lower(r_name) AS layer, row_number() OVER (PARTITION BY r_name ORDER BY p.id) - 1 AS place
+    FROM fx_parcels p JOIN nation ON county = n_name JOIN region ON n_regionkey = r_regionkey))"""
+add(
+    "paged_source",
+    """
+SELECT layer, page AS "offset", place - page AS "position", 'ok' AS status, id AS "NUMBER", 'a "b]" \\ {' || county AS "NAME",
+  CASE WHEN id % 41 <> 0 THEN CAST((x1 - x0) * (y1 - y0) AS DOUBLE) END AS area
+FROM stored WHERE layer IN ('asia', 'europe', 'africa') AND page >= 2500 AND page < 40000
+UNION ALL SELECT 'asia', 0, NULL, 'failed', NULL, NULL, NULL""",
+    b.PARCELS,
+    STORED,
+)
+add(
+    "page_replay",
+    """
+SELECT page, count(*) FILTER (WHERE id % 41 <> 0) AS rows, sum(id) FILTER (WHERE id % 41 <> 0) AS ids,
+  min(place) FILTER (WHERE id % 41 <> 0) AS first_id, count(*) FILTER (WHERE id % 41 = 0) AS quarantined, CAST(NULL AS VARCHAR) AS status
+FROM stored WHERE layer = 'asia' AND (page % 10000 <> 0 OR page % 20000 = 0) GROUP BY page
+UNION ALL SELECT DISTINCT page, NULL, NULL, NULL, NULL, 'failed' FROM stored WHERE layer = 'asia' AND page % 20000 = 10000""",
+    b.PARCELS,
+    STORED,
+)
 add("layer_catalog", "SELECT layer FROM entries WHERE fetched UNION SELECT 'soil' UNION SELECT 'elevation'", ENTRIES)
 add(
     "state_catalog",

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotweave import api
 from lotweave.functions import geometry as g
 from lotweave.functions import text
 from lotweave.functions.crs import reproject
@@ -25,7 +26,8 @@ from lotweave.plans import derived as d
 from lotweave.plans import layers as lay
 from lotweave.plans import taxlots as tx
 from lotweave.session import durable, ensure_checkpoint_dir
-from lotweave.sources import catalog, export, features, pages
+from lotweave.sources import catalog, export, features, paged, pages
+from lotweave.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -601,6 +603,42 @@ def page_ledger(spark, sf):
     return pages.ledger_summary(pages.replay(log, pages.failed_ledger(log), retried))
 
 
+def _scratch(spark, name):
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def paged_source(spark, sf):
+    """Later pages of three stored layers through the paged source, features typed and shapes read."""
+    root = _scratch(spark, "pages")
+    d.stored_pages(spark, sf, root, "layer = 'asia' AND offset = 0")
+    where = "layer IN ('asia', 'europe', 'africa') AND (offset >= 2500 OR layer = 'asia') AND offset < 40000"
+    scanned = paged.scan(spark, root, where, d.PAGE)
+    typed = features.typed_features(scanned, "feature", catalog.declared_schema("NUMBER,NAME", "BIGINT,VARCHAR(40)"), True, ("layer", "offset", "position", "status"))
+    shape = features.geometry_from_geojson(F.col("geometry"))
+    return typed.select("layer", "offset", "position", "status", "NUMBER", "NAME", g.area(shape).alias("area"))
+
+
+@query
+def page_replay(spark, sf):
+    """A layer ingested with failed pages, replayed from a later fetch of which a part fails again."""
+    ws = Workspace(spark, _scratch(spark, "replay"))
+    first, second = _scratch(spark, "pages"), _scratch(spark, "pages")
+    d.stored_pages(spark, sf, first, "offset % 10000 = 0")
+    d.stored_pages(spark, sf, second, "offset % 20000 <> 0")
+    entry = dict(
+        state="oregon", layer="asia", description="Parcels", epsg=3857, outfields="NUMBER", dtypes="BIGINT", fetch=True, geom=True, max_records=d.PAGE
+    )
+    entries = catalog.catalog_from_rows(spark, [entry])
+    api.ingest(ws, "oregon", entries, first, ["asia"])
+    api.replay(ws, "oregon", entries, second)
+    page = F.col("_page").cast("long").alias("page")
+    pages_ = ws.staging("oregon", "asia").groupBy(page).agg(F.count("*").alias("rows"), F.sum("NUMBER").alias("ids"), F.min("id").alias("first_id"))
+    bad = ws.staging("oregon", "asia_quarantine").groupBy(page).agg(F.count("*").alias("quarantined"))
+    ledger = ws.staging("oregon", "asia_ledger").select(F.col("offset").alias("page"), "status")
+    return pages_.join(bad, "page", "full_outer").join(ledger, "page", "full_outer")
+
+
 @query
 def layer_catalog(spark, sf):
     return catalog.available_layers(catalog.fetchable(d.layer_entries(spark, sf)))

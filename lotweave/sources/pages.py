@@ -48,17 +48,18 @@ def ledger_summary(pages: DataFrame) -> DataFrame:
 
 
 def _stored_files(spark: SparkSession, root: str) -> DataFrame:
+    """(layer, path, value) of the stored files; Spark's readers leave empty files out."""
     raw = spark.read.option("wholetext", True).option("basePath", root).text(f"{root}/layer=*")
-    return raw.select("layer", F.col("_metadata.file_name").alias("file"), "value")
+    return raw.select("layer", F.col("_metadata.file_path").alias("path"), "value")
 
 
 def read_pages(spark: SparkSession, root: str) -> DataFrame:
-    """Stored pages ``<root>/layer=<name>/<offset>.json`` with their status.
+    """Stored pages ``<root>/layer=<name>/<offset>.json`` (or files in ``offset=<offset>/``) with their status.
 
     Whole files become rows through the built-in reader, so any file system
     works, files spread over tasks, and a filter on ``layer`` prunes folders.
     """
-    offset = F.regexp_extract(F.col("file"), r"^(\d+)\.json$", 1)
+    offset = F.regexp_extract("path", r"/(?:offset=)?(\d+)(?:\.json|/[^/]*)$", 1)
     return _stored_files(spark, root).where(offset != "").select(
         "layer", offset.cast("long").alias("offset"), page_status(F.col("value")).alias("status"), F.col("value").alias("body")
     )
@@ -67,17 +68,19 @@ def read_pages(spark: SparkSession, root: str) -> DataFrame:
 def read_totals(spark: SparkSession, root: str) -> DataFrame:
     """(layer, total): the service's own count, stored as ``<root>/layer=<name>/count.json``."""
     total = F.get_json_object("value", "$.count").cast("long")
-    return _stored_files(spark, root).where("file = 'count.json'").select("layer", total.alias("total"))
+    return _stored_files(spark, root).where("path LIKE '%/count.json'").select("layer", total.alias("total"))
 
 
 def page_gaps(stored: DataFrame, totals: DataFrame) -> DataFrame:
     """(layer, offset, records, status): planned or stored pages that are missing, failed or short of features.
 
-    ``totals`` has layer, total and max_records; a layer without a total is
-    judged by its stored pages alone.
+    ``stored`` has layer, offset, status and ``features``, their number, or the
+    page's ``body``. ``totals`` has layer, total and max_records; a layer without
+    a total is judged by its stored pages alone.
     """
-    features = F.coalesce(F.json_array_length(F.get_json_object("body", "$.features")), F.lit(0))
-    held = stored.select("layer", "offset", "status", features.alias("features"))
+    if "features" not in stored.columns:
+        stored = stored.withColumn("features", F.coalesce(F.json_array_length(F.get_json_object("body", "$.features")), F.lit(0)))
+    held = stored.select("layer", "offset", "status", "features")
     plan = page_plan(totals.where(F.col("total").isNotNull())).select("layer", "offset", "records")
     joined = plan.join(held, ["layer", "offset"], "full_outer")
     short = (F.col("status") == "ok") & (F.col("features") < F.col("records"))

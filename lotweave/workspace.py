@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotweave.session import durable
 from lotweave.sources.export import Contract, violations
 
 
@@ -31,6 +32,24 @@ class Workspace:
         """``error`` when the layer exists, ``overwrite`` or ``append`` on request."""
         df.write.mode(mode).option("compression", "zstd").parquet(self.staging_path(state, layer))
 
+    def write_pages(self, df: DataFrame, state: str, layer: str, mode: str = "error") -> None:
+        """A staging layer in one folder for each value of ``_page``."""
+        df.write.mode(mode).partitionBy("_page").option("compression", "zstd").parquet(self.staging_path(state, layer))
+
+    def replace_pages(self, df: DataFrame, state: str, layer: str, pages: list[int]) -> None:
+        """Put ``df`` in the place of the named pages; files of other pages are not touched.
+
+        Pages that have rows are replaced by one commit; those left without rows go afterwards.
+        """
+        path = self.staging_path(state, layer)
+        rows = durable(df.where(F.col("_page").isin(pages)))
+        held = {r[0] for r in rows.select("_page").distinct().collect()}  # some of ``pages``
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_page").option("compression", "zstd").parquet(path)
+        jvm = self.spark._jvm
+        for page in sorted(set(pages) - held):
+            folder = jvm.org.apache.hadoop.fs.Path(f"{path}/_page={page}")
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
     def _finished(self, table: str) -> list[int]:
         jvm = self.spark._jvm
         base = jvm.org.apache.hadoop.fs.Path(f"{self.root}/app/{table}")

@@ -99,7 +99,7 @@ def test_pages_to_staging(spark, ws, entries, tmp_path):
     (folder / "0.json").write_text(json.dumps(page))
     (folder / "2.json").write_text(json.dumps({"error": {"code": 500}}))
     (folder / "4.json").write_text("")
-    assert api.ingest(ws, "OR", entries, str(tmp_path / "pages"), ["fpd"]) == {"fpd": "incomplete: 1 pages"}
+    assert api.ingest(ws, "OR", entries, str(tmp_path / "pages"), ["fpd"]) == {"fpd": "incomplete: 2 pages"}  # an error document and an empty page
     assert ws.staging("oregon", "fpd_quarantine").count() == 1
     rows = ws.staging("oregon", "fpd").select("ODF_FPD", "srid", F.size("geom").alias("parts")).collect()
     assert sorted((str(r.ODF_FPD), r.srid, r.parts) for r in rows) == [("None", 3857, 1), ("a", 3857, 1)]
@@ -109,7 +109,7 @@ def test_pages_to_staging(spark, ws, entries, tmp_path):
     (folder / "2.json").write_text(json.dumps({"features": [feature("c", None)]}))
     assert api.ingest(ws, "OR", entries, str(tmp_path / "pages"), ["fpd"], overwrite=True) == {"fpd": "incomplete: 3 pages"}
     ledger = {r.offset: r.status for r in ws.staging("oregon", "fpd_ledger").collect()}
-    assert ledger == {2: "short", 4: "missing", 6: "missing"}
+    assert ledger == {2: "short", 4: "failed", 6: "missing"}  # the empty page is there, and empty
 
 
 def test_filter_on_undeclared_fields_and_ids(spark, ws, tmp_path):
