@@ -529,6 +529,17 @@ add(
     b.PARCELS,
     PIXELS,
 )
+add(
+    "zonal_custom",
+    """
+SELECT id, quantile_cont(v, 0.5) AS median_elev, quantile_cont(v, 0.9) AS upper_elev, CAST(count(DISTINCT c) AS INTEGER) AS variety,
+  CAST(any_value(m) AS INTEGER) AS majority
+FROM (SELECT id, CASE WHEN (i + j) % 97 <> 0 THEN CAST((31 * i + 17 * j) % 3000 - 5 AS DOUBLE) END AS v, (7 * i + 13 * j) % 9 AS c FROM px)
+JOIN (SELECT id, arg_max(c, n * 100 - c) AS m FROM (SELECT id, (7 * i + 13 * j) % 9 AS c, count(*) AS n FROM px GROUP BY 1, 2) GROUP BY id) USING (id)
+GROUP BY id""",
+    b.PARCELS,
+    PIXELS,
+)
 assert NODATA == -9999.0
 
 add(

@@ -20,6 +20,7 @@ from lotweave.operators import soil, zonal
 from lotweave.operators.cluster import cluster_within
 from lotweave.operators.dissolve import dissolve, repair
 from lotweave.operators.overlap import largest_overlap, overlay_pairs
+from lotweave.operators.reducers import Quantiles
 from lotweave.operators.spatial_join import points_in_polygons, spatial_pairs
 from lotweave.plans import counties as cty
 from lotweave.plans import derived as d
@@ -554,6 +555,13 @@ def zonal_histogram(spark, sf):
     return zonal.class_histogram(_zonal_parcels(spark, sf), d.raster(spark), GRID, ["id"])
 
 
+@query
+def zonal_custom(spark, sf):
+    """A reducer of the caller's: median and upper decile of elevation, variety and majority of classes."""
+    wanted = Quantiles({"median_elev": 0.5, "upper_elev": 0.9})
+    return zonal.reduce_zones(_zonal_parcels(spark, sf), d.raster(spark), GRID, ["id"], wanted)
+
+
 @query
 def extent_tiles(spark, sf):
     shapes = d.counties(spark, sf).select("geom").union(d.places(spark, sf).select("geom")).distinct()

@@ -1,14 +1,17 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lotweave.functions import geometry as g
 from lotweave.functions import text
 from lotweave.operators import cleaning as c
+from lotweave.operators import reducers, zonal
 from lotweave.operators.cluster import cluster_within, components_across_cluster
 from lotweave.operators.dissolve import cell_pieces, dissolve, subdivide
 from lotweave.operators.overlap import largest_overlap, overlay_pairs
+from lotweave.operators.reducers import Reducer
 from lotweave.operators.spatial_join import spatial_pairs
 from lotweave.operators.zonal import Grid, class_histogram, parcel_statistics
 from tests.shapes import as_geom, components, convex_clip_area, convex_distance, frame, square, triangle
@@ -185,3 +188,80 @@ def test_thinness_without_perimeter_is_kept(spark):
 def test_codes_are_never_cut(spark):
     df = spark.createDataFrame([("7",), ("1234",), (None,)], "c string")
     assert [r[0] for r in df.select(text.pad_code(F.col("c"))).collect()] == ["007", "1234", None]
+
+
+class Spread(Reducer):
+    """A caller's own reducer: the span of elevations and the pixels whose class is missing."""
+
+    state = {"low": "float", "high": "float", "blank": "long"}
+    result = {"span": "double", "blank": "long"}
+
+    def partial(self, tile):
+        known = np.where(np.isnan(tile.elevation), np.inf, tile.elevation)
+        low = tile.by_zone(np.minimum, tile.extremes(known, np.minimum), np.inf)
+        high = -tile.by_zone(np.minimum, tile.extremes(np.where(np.isinf(known), np.inf, -known), np.minimum), np.inf)
+        return np.arange(tile.zones), {"low": low, "high": high, "blank": tile.by_zone(np.add, tile.counts(tile.cover == reducers.MISSING), 0)}
+
+    def merge(self, zone, state):
+        zones, at = np.unique(zone, return_inverse=True)
+        out = {"low": np.full(len(zones), np.inf), "high": np.full(len(zones), -np.inf), "blank": np.zeros(len(zones), np.int64)}
+        for name, pick in (("low", np.minimum), ("high", np.maximum), ("blank", np.add)):
+            pick.at(out[name], at, state[name])
+        return zones, out
+
+    def finish(self, zone, state):
+        return zone, {"span": (state["high"] - state["low"]).astype(float), "blank": state["blank"]}
+
+
+@pytest.fixture
+def pixels(spark):
+    rng = np.random.default_rng(6)
+    size, strip = 150, 25
+    heights = rng.integers(-40, 40, (size, size)) / 2
+    heights[rng.random((size, size)) < 0.1] = -9999.0
+    classes = np.where(rng.random((size, size)) < 0.1, np.nan, rng.integers(0, 5, (size, size)))
+    strips = [(j, s, heights[j, s * strip : s * strip + strip].tolist(), classes[j, s * strip : s * strip + strip].tolist()) for j in range(size) for s in range(6) if (j, s) != (9, 1)]
+    heights[9, 25:50], classes[9, 25:50] = -9999.0, np.nan
+    table = spark.createDataFrame(strips, "row_no long, strip_no long, elevation array<float>, cover array<float>").repartition(5)
+    return Grid(0.0, 0.0, 1.0, strip, -9999.0), table, heights, classes
+
+
+@pytest.mark.parametrize("stacked", [False, True])
+def test_reducers_against_pixels(spark, pixels, monkeypatch, stacked):
+    """Boxes over tile borders, parcels in pieces and null keys; with small limits tiles are dealt over tasks."""
+    if stacked:
+        monkeypatch.setattr(zonal, "TILE_RUNS", 50)
+        monkeypatch.setattr(zonal, "MERGE", 100)
+    grid, table, heights, classes = pixels
+    rng = random.Random(2)
+    boxes = [(rng.randrange(0, 140), rng.randrange(0, 140), rng.randrange(1, 90), rng.randrange(1, 90), rng.randrange(20)) for _ in range(60)]
+    rows = [(k if k else None, f"c{k % 3}", as_geom([[[(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)]]])) for x, y, w, h, k in boxes]
+    df = spark.createDataFrame(rows, f"k long, c string, geom {KIND}").repartition(4)
+    want = {}
+    for x, y, w, h, k in boxes:
+        own = want.setdefault((k if k else None, f"c{k % 3}"), ([], []))
+        box = np.s_[y : min(y + h, 150), x : min(x + w, 150)]
+        there = np.ones_like(heights, dtype=bool)
+        there[9, 25:50] = False  # a strip that the raster lacks
+        own[0].extend(heights[box][there[box]])
+        own[1].extend(classes[box][there[box]])
+    quantiles = zonal.reduce_zones(df, table, grid, ["k", "c"], reducers.Quantiles({"low": 0.1, "median": 0.5})).collect()
+    spans = {(r.k, r.c): (r.span, r.blank) for r in zonal.reduce_zones(df, table, grid, ["k", "c"], Spread()).collect()}
+    stats = {(r.k, r.c): tuple(r)[2:] for r in parcel_statistics(df, table, grid, ["k", "c"]).collect()}
+    assert {(r.k, r.c) for r in quantiles} == set(want) == set(spans) == set(stats)
+    for r in quantiles:
+        high, cls = (np.array(v) for v in want[r.k, r.c])
+        high, known = high[high != -9999.0], cls[~np.isnan(cls)]
+        assert (r.low, r.median) == pytest.approx(np.quantile(high, [0.1, 0.5]))
+        values, counts = np.unique(known, return_counts=True)
+        assert (r.variety, r.majority) == (len(values), values[np.argmax(counts)])
+        assert spans[r.k, r.c] == (high.max() - high.min(), np.isnan(cls).sum())
+        assert stats[r.k, r.c] == (int(high.min()), int(high.max()), int((known == 1).sum()), len(known))
+
+
+def test_reducers_of_nothing(spark, pixels):
+    grid, table, *_ = pixels
+    far = spark.createDataFrame([(1, as_geom(square(9000, 9000, 5)))], f"k long, geom {KIND}")
+    for reducer in (reducers.Statistics(), reducers.Histogram(), reducers.Quantiles({"m": 0.5})):
+        assert zonal.reduce_zones(far, table, grid, ["k"], reducer).count() == 0
+        assert zonal.reduce_zones(far.where("false"), table, grid, ["k"], reducer).count() == 0
