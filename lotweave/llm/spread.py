@@ -106,21 +106,23 @@ def slot_bitmap(keys: DataFrame, column: str, bits: int) -> tk.Slots:
     return out
 
 
-def only_listed(spark: SparkSession, docs: DataFrame, key: str, text: str, listed: DataFrame, bits: int = 24) -> DataFrame:
-    """(key, text) of the documents that ``listed`` (a column ``key``) names, and few others.
+def only_listed(spark: SparkSession, docs: DataFrame, key: str, text: str, listed: DataFrame, bits: int = 24, also: str | None = None) -> DataFrame:
+    """(key, text) of the documents that ``listed`` (a column ``key``) names, and few others; ``also`` is a long carried along.
 
     A bitmap of fixed size passes every listed document, so the texts of the rest are not
     shuffled; joins that follow settle what else came through.
     """
     sent = spark.sparkContext.broadcast(slot_bitmap(listed.select(F.xxhash64(key).alias("h")), "h", bits))
+    carried = [key, text, *([also] if also else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hit = sent.value.holds(batch.column(2).to_numpy().view(np.uint64))
-            yield batch.select([0, 1]).filter(pa.array(hit))
+            hit = sent.value.holds(batch.column(len(carried)).to_numpy().view(np.uint64))
+            yield batch.select(range(len(carried))).filter(pa.array(hit))
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text, F.xxhash64(key).alias("h")).mapInArrow(run, f"`{key}` {kind}, `{text}` string")
+    fields = f"`{key}` {kind}, `{text}` string" + (f", `{also}` long" if also else "")
+    return docs.select(*carried, F.xxhash64(key).alias("h")).mapInArrow(run, fields)
 
 
 def text_bytes(docs: DataFrame, column: str = "text") -> int:

@@ -16,11 +16,13 @@ the same place.
 
 A task settles what repeats among its own rows first, so a passage that very many documents share
 crosses the shuffle once for each task. Seeds with more than ``HOT`` different surroundings
-in a task or range are dealt by their strings, not by the seed. Ranks are 64-bit hashes.
+in a task or range are dealt by their strings, not by the seed: the smallest document of each string in a task is
+found there and asks for the others, which are settled by it. Ranks are 64-bit hashes.
 
 Defined cases: null text is empty; texts shorter than ``length`` lose nothing; of rows with one
-id, none is smaller than the other, so they do not cover each other; null ids are neither
-compared nor changed; an empty table gives no rows; further columns are not carried.
+id, none is smaller than the other, so they do not cover each other, but all of them are compared with the
+rows of other ids; null ids are neither compared nor changed; an empty table gives no rows; further columns are
+not carried.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotweave.llm import spread
@@ -113,16 +115,16 @@ def _settle(seed: np.ndarray, around: np.ndarray, doc: np.ndarray) -> np.ndarray
 
 
 def _seed_blocks(length: int, ranges: int):
-    """Blocks of (seed, surroundings, document, position, state), dealt by seed."""
+    """Blocks of (seed, surroundings, document, its row, position, state), dealt by seed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         count = 0
         for batch in batches:
-            ids = batch.column(0).to_numpy()
+            ids, nth = batch.column(0).to_numpy(), batch.column(2).to_numpy().astype(np.uint32)
             for piece in tk.slices(batch.column(1)):
                 for row, position, seed, around in anchors(piece, length):
-                    held.append((seed, around, ids[piece.first + row], position))
+                    held.append((seed, around, ids[piece.first + row], nth[piece.first + row], position))
                     count += len(row)
                 if count > FLUSH:
                     yield from _flush_seeds(held, ranges)
@@ -134,7 +136,7 @@ def _seed_blocks(length: int, ranges: int):
 
 
 def _flush_seeds(held: list[tuple[np.ndarray, ...]], ranges: int) -> Iterator[pa.RecordBatch]:
-    seed, around, doc, position = (np.concatenate(c) for c in zip(*held))
+    seed, around, doc, nth, position = (np.concatenate(c) for c in zip(*held))
     state = np.where(_settle(seed, around, doc), SETTLED, ASK).astype(np.uint8)
     # a seed with very many surroundings here is dealt by its strings; one entry still tells the others
     asking = np.flatnonzero(state == ASK)
@@ -144,38 +146,45 @@ def _flush_seeds(held: list[tuple[np.ndarray, ...]], ranges: int) -> Iterator[pa
     hot = np.repeat(sizes > HOT, sizes)
     state[order[hot]] = ASK_HOT
     low = (seed & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    yield from spread.pack(seed, [low, around, doc, position.astype(np.int64), state], ranges)
+    yield from spread.pack(seed, [low, around, doc, nth, position.astype(np.int64), state], ranges)
 
 
 def _rank_seeds(group: pa.Table) -> pa.Table:
-    """(document, mark): 4 * position + state of every anchor that is settled or must be asked."""
-    low, around, doc, position, state = spread.unpack(group, [np.uint32, np.uint64, np.int64, np.int64, np.uint8])
+    """(document, row, mark): 4 * position + state of every anchor that is settled or must be asked."""
+    low, around, doc, nth, position, state = spread.unpack(group, [np.uint32, np.uint64, np.int64, np.uint32, np.int64, np.uint8])
     settled = state == SETTLED
-    out = [(doc[settled], position[settled], np.full(int(settled.sum()), SETTLED))]
-    low, around, doc, position, state = (c[~settled] for c in (low, around, doc, position, state))
+    out = [(doc[settled], nth[settled], position[settled], np.full(int(settled.sum()), SETTLED))]
+    low, around, doc, nth, position, state = (c[~settled] for c in (low, around, doc, nth, position, state))
     if len(low):
         order, begins, least = _smallest(low, doc)
-        low, around, doc, position, state = (c[order] for c in (low, around, doc, position, state))
+        low, around, doc, nth, position, state = (c[order] for c in (low, around, doc, nth, position, state))
         sizes = np.diff(np.append(begins, len(low)))
         shared = np.repeat(np.maximum.reduceat(doc, begins), sizes) > least
         hot = np.repeat(np.maximum.reduceat(state, begins) == ASK_HOT, sizes) | np.repeat(sizes > 4 * HOT, sizes)
-        low, around, doc, position, hot = (c[shared] for c in (low, around, doc, position, hot))
+        low, around, doc, nth, position, hot = (c[shared] for c in (low, around, doc, nth, position, hot))
     if len(low):
         covered = _settle(low.astype(np.uint64), around, doc)
-        out.append((doc[covered], position[covered], np.full(int(covered.sum()), SETTLED)))
-        low, around, doc, position, hot = (c[~covered] for c in (low, around, doc, position, hot))
+        out.append((doc[covered], nth[covered], position[covered], np.full(int(covered.sum()), SETTLED)))
+        low, around, doc, nth, position, hot = (c[~covered] for c in (low, around, doc, nth, position, hot))
         order = np.argsort(low, kind="stable")
-        low, around, doc, position, hot = (c[order] for c in (low, around, doc, position, hot))
+        low, around, doc, nth, position, hot = (c[order] for c in (low, around, doc, nth, position, hot))
         begins = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
         several = np.minimum.reduceat(around, begins) != np.maximum.reduceat(around, begins)
         ask = np.repeat(several, np.diff(np.append(begins, len(low))))
-        out.append((doc[ask], position[ask], np.where(hot[ask], ASK_HOT, ASK)))
-    doc, position, state = (np.concatenate(c) for c in zip(*out))
-    return pa.table({"doc": pa.array(doc), "mark": pa.array(position * 4 + state)})
+        out.append((doc[ask], nth[ask], position[ask], np.where(hot[ask], ASK_HOT, ASK)))
+    doc, nth, position, state = (np.concatenate(c) for c in zip(*out))
+    return _marks(doc, nth, position * 4 + state)
+
+
+MARKS = "doc long, nth long, mark long"
+
+
+def _marks(doc: np.ndarray, nth: np.ndarray, mark: np.ndarray) -> pa.Table:
+    return pa.table({"doc": pa.array(doc), "nth": pa.array(nth.astype(np.int64)), "mark": pa.array(mark)})
 
 
 def _marked_rows(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(row, bytes, marks) of a batch of (document, text, marks)."""
+    """(place in the batch, bytes, marks) of a batch of (document, text, marks, ...)."""
     lists = batch.column(2)
     ends, values = lists.offsets.to_numpy(), lists.flatten().to_numpy()
     for piece in tk.slices(batch.column(1)):
@@ -206,14 +215,14 @@ def _string_ranks(around: np.ndarray, left: np.ndarray, right: np.ndarray, lengt
 
 
 def _ask_blocks(length: int, ranges: int):
-    """Blocks of (seed, document, position, bytes on both sides, surroundings), dealt by seed."""
+    """Blocks of (seed, document, its row, position, bytes on both sides, surroundings), dealt by seed."""
     shape = f"V{2 * length - SEED}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         count = 0
         for batch in batches:
-            docs = batch.column(0).to_numpy()
+            docs, nths = batch.column(0).to_numpy(), batch.column(3).to_numpy().astype(np.uint32)
             for i, data, marks in _marked_rows(batch):
                 at = np.sort(marks[marks % 4 == ASK] // 4)
                 if not len(at):
@@ -222,7 +231,7 @@ def _ask_blocks(length: int, ranges: int):
                 sums = tk.prefix_sums(np.ascontiguousarray(around[:, length - SEED : length]).ravel())
                 spots = np.arange(len(at)) * SEED
                 seeds = tk.span_hashes(sums, spots, spots + SEED)
-                held.append((seeds, np.full(len(at), docs[i]), at, left, right, np.ascontiguousarray(around).view(shape).ravel()))
+                held.append((seeds, np.full(len(at), docs[i]), np.full(len(at), nths[i]), at, left, right, np.ascontiguousarray(around).view(shape).ravel()))
                 count += len(at)
                 if count > spread.FLUSH // 8:
                     yield from _flush_asks(held, ranges)
@@ -234,21 +243,21 @@ def _ask_blocks(length: int, ranges: int):
 
 
 def _flush_asks(held: list[tuple[np.ndarray, ...]], ranges: int) -> Iterator[pa.RecordBatch]:
-    seed, doc, at, left, right, around = (np.concatenate(c) for c in zip(*held))
+    seed, doc, nth, at, left, right, around = (np.concatenate(c) for c in zip(*held))
     low = (seed & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    yield from spread.pack(seed, [low, doc.astype(np.int64), at.astype(np.int64), left, right, around], ranges)
+    yield from spread.pack(seed, [low, doc.astype(np.int64), nth, at.astype(np.int64), left, right, around], ranges)
 
 
 def _rank_strings(length: int):
-    """(document, mark): position and the offsets whose strings an earlier document has, as bits."""
+    """(document, row, mark): position and the offsets whose strings an earlier document has, as bits."""
     reach = length - SEED
     width = reach + length
 
     def run(group: pa.Table) -> pa.Table:
-        kinds = [np.uint32, np.int64, np.int64, np.uint8, np.uint8, np.dtype(f"V{width}")]
-        low, doc, at, left, right, around = spread.unpack(group, kinds)
+        kinds = [np.uint32, np.int64, np.uint32, np.int64, np.uint8, np.uint8, np.dtype(f"V{width}")]
+        low, doc, nth, at, left, right, around = spread.unpack(group, kinds)
         order = np.argsort(low, kind="stable")
-        low, doc, at, left, right, around = (c[order] for c in (low, doc, at, left, right, around))
+        low, doc, nth, at, left, right, around = (c[order] for c in (low, doc, nth, at, left, right, around))
         bits = np.zeros(len(low), dtype=np.int64)
         begins = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
         a = 0
@@ -265,27 +274,59 @@ def _rank_strings(length: int):
                     bits[a + some[hit]] |= 1 << offset
             a = b
         hit = bits > 0
-        return pa.table({"doc": pa.array(doc[hit]), "mark": pa.array((at[hit] << (reach + 2)) | bits[hit])})
+        return _marks(doc[hit], nth[hit], (at[hit] << (reach + 2)) | bits[hit])
 
     return run
 
 
-def _hot_strings(length: int):
-    """(rank, document, start) of every string through a hot anchor."""
+def _hot_blocks(length: int, ranges: int):
+    """Blocks of (rank, document, its row, start) of every string through a hot anchor, dealt by rank.
+
+    Of the documents of a task that share a string the smallest asks; the others are settled, and dealt apart
+    by document in as many ranges again.
+    """
+
+    def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        rank, doc, nth, start = (np.concatenate(c) for c in zip(*held))
+        order, _, least = _smallest(rank, doc)
+        settled = np.empty(len(doc), dtype=bool)
+        settled[order] = doc[order] > least
+        for own, keys, shift in ((~settled, rank, 0), (settled, tk.mix(doc.view(np.uint64)), ranges)):
+            for batch in spread.pack(keys[own], [rank[own], doc[own], nth[own], start[own]], ranges):
+                yield batch.set_column(0, "range", pa.array(batch.column(0).to_numpy() + shift))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        count = 0
         for batch in batches:
-            docs = batch.column(0).to_numpy()
+            docs, nths = batch.column(0).to_numpy(), batch.column(3).to_numpy().astype(np.uint32)
             for i, data, marks in _marked_rows(batch):
                 every = np.sort(marks[marks % 4 == ASK_HOT] // 4)
                 for a in range(0, len(every), 4096):
                     at = every[a : a + 4096]
                     ranks, real = _string_ranks(*_surroundings(data, at, length), length)
-                    start = (at[:, None] - np.arange(length - SEED + 1))[real]
-                    start, first = np.unique(start, return_index=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(tk.signed(ranks[real][first])), pa.array(np.full(len(start), docs[i])), pa.array(start)], ["rank", "doc", "start"]
-                    )
+                    start, first = np.unique((at[:, None] - np.arange(length - SEED + 1))[real], return_index=True)
+                    held.append((ranks[real][first], np.full(len(start), docs[i]), np.full(len(start), nths[i]), start.astype(np.int64)))
+                    count += len(start)
+                    if count > spread.FLUSH:
+                        yield from flush(held)
+                        held, count = [], 0
+        if count:
+            yield from flush(held)
+
+    return run
+
+
+def _rank_hot(length: int, ranges: int):
+    """(document, row, mark) of the strings that an earlier document has, too."""
+
+    def run(group: pa.Table) -> pa.Table:
+        rank, doc, nth, start = spread.unpack(group, [np.uint64, np.int64, np.uint32, np.int64])
+        if group.column("range")[0].as_py() < ranges and len(rank):
+            order, _, least = _smallest(rank, doc)
+            hit = order[doc[order] > least]
+            doc, nth, start = doc[hit], nth[hit], start[hit]
+        return _marks(doc, nth, (start << (length - SEED + 2)) + 1)
 
     return run
 
@@ -326,25 +367,26 @@ def _apply(length: int, with_text: bool):
 
 
 def marks(docs: DataFrame, key: str, length: int) -> DataFrame:
-    """(doc, marks): what is covered in each document that loses something; ids are unique and not null."""
+    """(doc, nth, marks): what is covered in each row that loses something; rows are named by ``key`` and ``nth``."""
     total = spread.text_bytes(docs)
     density = 2 / (length - SEED + 2)
-    blocks = docs.select(key, "text").mapInArrow(_seed_blocks(length, spread.ranges_for(2 * total * density)), spread.BLOCKS)
-    ranked = durable(spread.by_range(blocks, _rank_seeds, "doc long, mark long"))
+    blocks = docs.select(key, "text", "nth").mapInArrow(_seed_blocks(length, spread.ranges_for(2 * total * density)), spread.BLOCKS)
+    ranked = durable(spread.by_range(blocks, _rank_seeds, MARKS))
     reach = length - SEED
     whole = 1 << (reach + 1)
-    settled = ranked.where(f"mark % 4 = {SETTLED}").selectExpr("doc", f"shiftleft(shiftright(mark, 2), {reach + 2}) + {whole} AS mark")
+    settled = ranked.where(f"mark % 4 = {SETTLED}").selectExpr("doc", "nth", f"shiftleft(shiftright(mark, 2), {reach + 2}) + {whole} AS mark")
 
-    asked = ranked.where(f"mark % 4 <> {SETTLED}").groupBy("doc").agg(F.collect_list("mark").alias("marks"))
-    few = spread.only_listed(docs.sparkSession, docs, key, "text", asked.select(F.col("doc").alias(key)))
-    joined = few.join(asked.withColumnRenamed("doc", key), key).select(key, "text", "marks")
-    asks = ranked.where(f"mark % 4 = {ASK}").count()
+    asked = ranked.where(f"mark % 4 <> {SETTLED}").groupBy("doc", "nth").agg(F.collect_list("mark").alias("marks"))
+    few = spread.only_listed(docs.sparkSession, docs.withColumnRenamed(key, "doc"), "doc", "text", asked.select("doc"), also="nth")
+    joined = few.join(asked, ["doc", "nth"]).select("doc", "text", "marks", "nth")
+    asks, hot = ranked.agg(F.count(F.when(F.col("mark") % 4 == ASK, 1)), F.count(F.when(F.col("mark") % 4 == ASK_HOT, 1))).first()
     blocks = joined.mapInArrow(_ask_blocks(length, spread.ranges_for(asks * 8)), spread.BLOCKS)
-    single = spread.by_range(blocks, _rank_strings(length), "doc long, mark long")
-    hot = joined.where(f"exists(marks, x -> x % 4 = {ASK_HOT})").mapInArrow(_hot_strings(length), "rank long, doc long, start long")
-    first = hot.groupBy("rank").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
-    again = hot.join(first, "rank").where("doc > least").selectExpr("doc", f"shiftleft(start, {reach + 2}) + 1 AS mark")
-    return settled.unionByName(single).unionByName(again).groupBy("doc").agg(F.collect_list("mark").alias("marks"))
+    out = settled.unionByName(spread.by_range(blocks, _rank_strings(length), MARKS))
+    if hot:
+        ranges = spread.ranges_for(hot * (reach + 1))
+        strings = joined.where(f"exists(marks, x -> x % 4 = {ASK_HOT})").mapInArrow(_hot_blocks(length, ranges), spread.BLOCKS)
+        out = out.unionByName(spread.by_range(strings, _rank_hot(length, ranges), MARKS))
+    return out.groupBy("doc", "nth").agg(F.collect_list("mark").alias("marks"))
 
 
 def dedup(docs: DataFrame, length: int = 50, key: str = "doc_id", with_text: bool = False) -> DataFrame:
@@ -358,10 +400,11 @@ def dedup(docs: DataFrame, length: int = 50, key: str = "doc_id", with_text: boo
     known = rows.where(F.col(key).isNotNull())
     twice = durable(known.groupBy(key).count().where("count > 1").select(key))
     repeated = not twice.isEmpty()
-    single = known
-    if repeated:  # of rows with one id the longest text is compared
-        longest = known.join(twice, key, "left_semi").groupBy(key).agg(F.max(F.struct(F.octet_length("text").alias("n"), "text")).alias("x"))
-        single = known.join(twice, key, "left_anti").unionByName(longest.select(key, "x.text"))
+    single = known.withColumn("nth", F.lit(0).cast("long"))
+    if repeated:  # rows of one id that differ are numbered
+        texts = known.join(twice, key, "left_semi").distinct()
+        nth = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64("text"), "text")).cast("long")
+        single = single.join(twice, key, "left_anti").unionByName(durable(texts.withColumn("nth", nth)))
     with spread.batches_of(spark, 400):
         found = durable(marks(single, key, length))
     fields = "doc long, h long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
@@ -371,22 +414,20 @@ def dedup(docs: DataFrame, length: int = 50, key: str = "doc_id", with_text: boo
     def split(wanted: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield batch.filter(pa.array(listed.value.holds(batch.column(2).to_numpy().view(np.uint64)) == wanted))
+                yield batch.filter(pa.array(listed.value.holds(batch.column(3).to_numpy().view(np.uint64)) == wanted))
 
         return run
 
-    hashed = single.select(key, "text", F.xxhash64(key).alias("h"))
-    kind = f"`{key}` long, text string, h long"
-    changed = hashed.mapInArrow(split(True), kind).join(found.withColumnRenamed("doc", key), key, "left")
+    hashed = single.select(F.col(key).alias("doc"), "text", "nth", F.xxhash64(key).alias("h"))
+    kind = "doc long, text string, nth long, h long"
+    changed = hashed.mapInArrow(split(True), kind).join(found, ["doc", "nth"], "left")
     none = F.array().cast("array<long>")
-    changed = changed.select(key, "text", F.coalesce("marks", none).alias("marks"), F.xxhash64("text").alias("h"))
-    done = changed.mapInArrow(_apply(length, with_text), fields)
-    same = _unchanged(hashed.mapInArrow(split(False), kind), key, with_text)
-    judged = done.withColumnRenamed("doc", key).unionByName(same)
+    changed = changed.select("doc", "text", F.coalesce("marks", none).alias("marks"), F.xxhash64("text").alias("h"))
+    done = changed.mapInArrow(_apply(length, with_text), fields).withColumnRenamed("doc", key)
+    judged = done.unionByName(_unchanged(hashed.mapInArrow(split(False), kind).withColumnRenamed("doc", key), key, with_text))
     if repeated:
-        every = known.select(key, "text", F.xxhash64("text").alias("h"))
-        plain = _unchanged(every.join(judged.select(key, "h").distinct(), [key, "h"], "left_anti"), key, with_text)
-        judged = every.select(key, "h").join(judged, [key, "h"]).unionByName(plain)
+        every = known.select(key, F.xxhash64("text").alias("h"))
+        judged = every.join(judged, [key, "h"])
     return judged.unionByName(_unchanged(rows.where(F.col(key).isNull()), key, with_text)).drop("h")
 
 

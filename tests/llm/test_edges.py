@@ -101,6 +101,19 @@ def test_suffix_dedup(odd, none):
     assert suffixdedup.dedup(none).count() == 0
 
 
+def test_suffix_dedup_repeated_ids(spark):
+    """Every row of an id takes part: it may lose bytes to smaller ids and cover those of larger ones, never its own id's."""
+    p, other, third = ("".join(chr(97 + (i * i * k + i // 7) % 26) for i in range(120)) for k in (3, 5, 7))
+    rows = [(1, p), (2, p), (2, p + other), (2, p + other), (3, other), (3, third + other), (3, None), (4, third), (2, third)]
+    data = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixdedup.dedup(data).collect())
+    want = []
+    for k, (i, text) in enumerate(rows):
+        lower = [(j, t) for j, t in rows if j < i]
+        want.append((i, *brute.suffix_dedup([*((n, t) for n, (_, t) in enumerate(lower)), (10**6 + k, text)])[10**6 + k]))
+    assert got == sorted(want)
+
+
 def test_suffix_dedup_hot_and_long(spark, monkeypatch):
     import random
 
