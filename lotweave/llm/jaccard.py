@@ -39,6 +39,8 @@ from lotweave.session import durable, ship_package
 HASHES = 4
 SPARE = 2
 TILE = 1024
+#: A class of more documents is large; so many large ones are broadcast at most.
+LARGE, LARGE_CLASSES = 1024, 1 << 16
 _SEEDS = tk.mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -305,10 +307,10 @@ def join(docs: DataFrame, size: int = 3, percent: int = 90, key: str = "doc_id")
     ship_package(docs.sparkSession)
     docs = docs.select(F.col(key).cast("long").alias(key), "text")
     features = durable(_features(docs, key, size))
-    classes = features.where("n > 0").groupBy("n", "f1", "f2").agg(F.min(key).alias("rep"))
     same = ["n", "f1", "f2"]
-    leads = features.where(f"n > 0 AND {key} IS NOT NULL").select(key, *same).join(classes, same).where(f"{key} = rep")
-    leads = durable(leads.select(key, *same).distinct())
+    classes = durable(features.where("n > 0").groupBy(*same).agg(F.min(key).alias("rep"), F.count("*").alias("members")))
+    leads = classes.where("rep IS NOT NULL").select(F.col("rep").alias(key), *same)
+    spread.release(docs.sparkSession)
     reps = features.join(leads, [key, *same], "left_semi").dropDuplicates([key, *same])
 
     tiles = durable(reps.select(key, F.posexplode("minima").alias("k", "m")))
@@ -317,6 +319,7 @@ def join(docs: DataFrame, size: int = 3, percent: int = 90, key: str = "doc_id")
     first = _linked(docs, _bounded(reps, stars, key, percent), key, size, percent)
     grouped = spread.components(first)
 
+    spread.release(docs.sparkSession)
     named = leads.select(key).distinct().join(grouped.withColumnRenamed("node", key), key, "left")
     named = named.select(key, F.coalesce("component", key).alias("comp"))
     source = docs.join(named, key).select(key, "comp", "text")
@@ -324,18 +327,31 @@ def join(docs: DataFrame, size: int = 3, percent: int = 90, key: str = "doc_id")
     records = (leads.agg(F.sum("n")).first()[0] or 0) * share
     blocks = source.mapInArrow(_part_blocks(size, percent, spread.ranges_for(records)), spread.BLOCKS)
     members = durable(spread.by_range(blocks, _tile_members, "tile long, members long, place long, doc long, comp long"))
+    spread.release(docs.sparkSession)
     slim = reps.select(F.col(key).alias("doc"), "n", "bits")
     # the likeliest link of each document first: what they tie together needs no other pair
     likely = _linked(docs, _tile_pairs(members, slim, percent, forest=True), key, size, percent)
     grouped = durable(spread.merged_components(grouped, likely))
+    spread.release(docs.sparkSession)
     members = members.join(grouped.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "comp")).drop("component")
     spans = members.groupBy("tile").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("tile")
     others = _tile_pairs(members.join(spans, "tile", "left_semi"), slim, percent, forest=False)
     second = _linked(docs, others, key, size, percent)
     merged = spread.merged_components(grouped, second).withColumnRenamed("node", "rep")
-
-    placed = features.select(key, *same).join(classes, same, "left").join(merged, "rep", "left")
-    return placed.select(key, F.col("n").alias("n_shingles"), F.coalesce("component", "rep", key).alias("component_id"))
+    spread.release(docs.sparkSession)
+    groups = durable(classes.join(merged, "rep", "left"))
+    large = groups.where(F.col("members") > LARGE)  # at most a row for each ``LARGE`` documents
+    placed = features.select(key, *same)
+    if large.count() <= LARGE_CLASSES:
+        # documents of large classes find theirs without a shuffle and are dealt by their own ids after that
+        held = F.broadcast(large.select(*same, F.coalesce("component", "rep").alias("large")))
+        placed = placed.join(held, same, "left")
+    else:
+        placed = placed.withColumn("large", F.lit(None).cast("long"))
+    own = F.when(F.col("large").isNull(), F.col("f1")).otherwise(F.xxhash64(key))
+    other = groups.select("n", F.col("f1").alias("deal"), "f1", "f2", F.coalesce("component", "rep").alias("small"))
+    placed = placed.withColumn("deal", own).join(other, ["n", "deal", "f1", "f2"], "left")
+    return placed.select(key, F.col("n").alias("n_shingles"), F.coalesce("large", "small", key).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:

@@ -1,25 +1,26 @@
 """Near-duplicate lines by a segment-partition edit join (Li, Deng, Wang and Feng, Pass-Join, 2011).
 
-Lines (between ``\\n``) of at least ``min_bytes`` UTF-8 bytes are compared; distance is the
-number of byte edits. A line is dropped if an earlier line (by document id, then line number)
-is equal to it or within ``threshold`` edits; so of a chain the earliest line stays.
+A line (between ``\\n``) is dropped if an earlier line (by document id, then line number) is equal to it, or
+within ``threshold`` byte edits; so of a chain the earliest line stays. Equal lines count whatever their length if they hold a
+word; edits count between lines of at least ``min_bytes`` UTF-8 bytes, of which two edits are a twentieth ("Chapter 1" and
+"Chapter 2" are different lines).
 
-Equal lines are found by hash, as counts and minima that add up before the shuffle. For the
-others, a line is cut into ``threshold + 1`` segments, of which at most ``threshold`` can be hit
+Equal lines are found by hash, as counts and minima that add up before the shuffle; minima of very common lines go to
+the lines, not these to them. For the others, a line is cut into ``threshold + 1`` segments, of which at most ``threshold`` can be hit
 by the edits. It is filed under its length and each segment, and looks up the substrings
 of lines no longer than itself at the places where the alignment leaves them. Files and
 look-ups travel as blocks by key range; a task sends a copy only if it sent no earlier one. Where both meet, byte
 frequencies bound the distance from below. Pairs that remain have their lines fetched and the
 distance computed in a band of bits.
 
-Defined cases: null text has no lines; short and empty lines stay; a line that repeats inside
+Defined cases: null text has no lines; lines without a word stay; a line that repeats inside
 one document is dropped there too; rows with the same id are told apart by nothing and share
 their decisions; null ids are left alone; further columns are kept by ``without_repeats``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ from lotweave.llm import textkit as tk
 from lotweave.session import durable, ship_package
 
 BUCKETS = 8
+#: A line that occurs more often is very common; so many such lines are broadcast at most.
+COMMON, COMMON_LINES = 1024, 1 << 16
 _FILED, _PROBE = 0, 1
 
 
@@ -83,12 +86,15 @@ def keyed_spans(length: np.ndarray, threshold: int) -> Iterator[tuple[int, np.nd
                 yield _PROBE, fits, filed[fits], np.full(len(fits), i), at[fits], (at + size)[fits]
 
 
-def _lines(min_bytes: int):
+def _lines() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(document, line, hash) of every line with a word."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in tk.slices(batch.column(1)):
                 row, number, starts, ends = line_spans(piece)
-                long_ = np.flatnonzero(ends - starts >= min_bytes)
+                solid = np.concatenate(([0], np.cumsum(~tk.BLANK[piece.data])))
+                long_ = np.flatnonzero(solid[ends] > solid[starts])
                 hashes = tk.word_hashes(piece.data, starts[long_], ends[long_])
                 ids = batch.column(0).slice(piece.first, piece.rows).take(pa.array(row[long_]))
                 yield pa.RecordBatch.from_arrays(
@@ -309,9 +315,19 @@ def repeats(docs: DataFrame, threshold: int = 2, min_bytes: int = 40, key: str =
     ship_package(docs.sparkSession)
     docs = docs.select(F.col(key).cast("long").alias(key), "text")
     total = spread.text_bytes(docs)
-    lines = docs.where(F.col(key).isNotNull()).mapInArrow(_lines(min_bytes), "doc long, line long, hash long")
+    lines = docs.where(F.col(key).isNotNull()).mapInArrow(_lines(), "doc long, line long, hash long")
     first = lines.groupBy("hash").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    again = lines.join(first, "hash").where("struct(doc, line) <> first")
+    first = durable(first)
+    common = first.where(F.col("n") > COMMON).select("hash", F.col("first").alias("common"))  # at most a row for each ``COMMON`` lines
+    if common.count() <= COMMON_LINES:
+        lines = lines.join(F.broadcast(common), "hash", "left")
+    else:
+        lines = lines.withColumn("common", F.lit(None).cast(first.schema["first"].dataType))
+    # a very common line has its first one by now and is dealt by its own place
+    own = F.when(F.col("common").isNull(), F.col("hash")).otherwise(F.xxhash64("doc", "line"))
+    rest = first.select(F.col("hash").alias("deal"), "hash", "first")
+    again = lines.withColumn("deal", own).join(rest, ["deal", "hash"], "left").withColumn("first", F.coalesce("common", "first"))
+    again = again.where("first IS NOT NULL AND struct(doc, line) <> first")
     equal = again.select("doc", "line", F.col("first.doc").alias("first_doc"), F.col("first.line").alias("first_line"), F.lit(0).cast("long").alias("distance"))
     near = _near(docs, key, min_bytes, threshold, total)
     least = near.groupBy("b_doc", "b_line").agg(F.min(F.struct("a_doc", "a_line", "distance")).alias("x"))
@@ -328,15 +344,13 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", **options) -> DataFram
 
     A document that had words and has none left is dropped.
     """
-    dropped = repeats(docs, key=key, **options).groupBy(key).agg(F.collect_set("line").alias("_lines"))
+    lines = spread.free_name(docs, "lines")
+    dropped = repeats(docs, key=key, **options).groupBy(key).agg(F.collect_set("line").alias(lines))
     split = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    left = F.filter(split, lambda x, i: ~F.array_contains("_lines", i.cast("long")))
-    joined = docs.join(dropped, key, "left")
-    text = F.when(F.col("_lines").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    out = joined.withColumn("_old", F.col("text")).withColumn("text", text)
+    left = F.filter(split, lambda x, i: ~F.array_contains(lines, i.cast("long")))
+    out = docs.join(dropped, key, "left").withColumn("text", F.when(F.col(lines).isNull(), F.col("text")).otherwise(F.array_join(left, "\n")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed = F.when(F.col("_lines").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind))
-        out = out.withColumn("n_chars", changed)
-    emptied = F.col("_lines").isNotNull() & ~F.coalesce(F.col("text").rlike("[^ \\t-\\r]"), F.lit(False))
+        out = out.withColumn("n_chars", F.when(F.col(lines).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
+    emptied = F.col(lines).isNotNull() & ~F.coalesce(F.col("text").rlike("[^ \\t-\\r]"), F.lit(False))
     return out.where(~emptied).select(*docs.columns)

@@ -8,6 +8,7 @@ and a task sorts the records of its ranges with numpy. Ranges are as many as kee
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -36,6 +37,20 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of shuffle files and checkpoints that no DataFrame refers to any more: Spark deletes them once the driver has noticed."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as make it differ from the columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def ranges_for(records: float) -> int:
     return max(1, int(-(-records // RANGE)))
 
@@ -145,6 +160,7 @@ def components(links: DataFrame) -> DataFrame:
         hung = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = durable(hung.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         before, state = state, _state(edges)
+        release(links.sparkSession)
         if state == before:
             break
     star = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -121,14 +121,14 @@ def distance(a, b):
 
 
 def line_repeats(rows, threshold=2, min_bytes=40):
-    lines = sorted((i, k, x.encode()) for i, t in rows for k, x in enumerate((t or "").split("\n")) if len(x.encode()) >= min_bytes)
+    lines = sorted((i, k, x.encode()) for i, t in rows for k, x in enumerate((t or "").split("\n")) if words(x))
     first, out = {}, {}
     for i, k, x in lines:
         if x in first:
             out[i, k] = (*first[x], 0)
         else:
             first[x] = (i, k)
-    different = sorted(first.items(), key=lambda z: len(z[0]))
+    different = sorted(((x, at) for x, at in first.items() if len(x) >= min_bytes), key=lambda z: len(z[0]))
     counts = [Counter(x) for x, _ in different]
     near = defaultdict(list)
     for m, (x, at) in enumerate(different):

@@ -301,3 +301,41 @@ def test_pipeline_stages(spark, odd, none):
             assert out.columns == docs.columns
             assert out.count() <= docs.count()
         assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() >= 0
+
+
+def test_stages_keep_values_of_clashing_columns(spark, documents):
+    names = ["kept", "low", "high", "model", "n_words", "base_failed", "lines", "_lines", "_old", "_others", "log_perplexity"]
+    rows = [(i, t, lang, *[f"{n} {i}" for n in names]) for i, t, lang, _ in documents]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, " + ", ".join(f"{n} string" for n in names))
+    plain = {r.doc_id: r.text for r in linededup.without_repeats(docs.select("doc_id", "text", "lang")).collect()}
+    for out in (quality.kept_documents(docs), linededup.without_repeats(docs)):
+        assert out.schema == docs.schema
+        got = out.collect()
+        assert got and all(r[n] == f"{n} {r.doc_id}" for r in got for n in names)
+    assert {r.doc_id: r.text for r in got} == plain
+
+
+def test_short_lines_repeat_exactly(spark, monkeypatch):
+    """Equal lines go whatever their length if they hold a word; near ones need ``min_bytes``; common lines are found by broadcast."""
+    rows = [(i, f"Les.\n\n--\nChapter {i}\n \nown line of document {i}") for i in range(40)] + [(50, None), (51, "Les."), (None, "Les.")]
+    data = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for common, many in ((1024, 1 << 16), (5, 1 << 16), (5, 0)):
+        monkeypatch.setattr(linededup, "COMMON", common)
+        monkeypatch.setattr(linededup, "COMMON_LINES", many)
+        got = {(r.doc_id, r.line): (r.first_doc, r.first_line, r.distance) for r in linededup.repeats(data).collect()}
+        assert got == {**{(i, k): (0, k, 0) for i in range(1, 40) for k in (0, 2)}, (51, 0): (0, 0, 0)}
+
+
+def test_jaccard_large_classes(spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, text) for i in range(30, 60)] + [(7, text + " more"), (8, "a b c d"), (9, "a b c d"), (10, ""), (None, text), (11, None)]
+    data = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = None
+    for large, classes in ((1024, 1 << 16), (5, 1 << 16), (5, -1)):
+        monkeypatch.setattr(jaccard, "LARGE", large)
+        monkeypatch.setattr(jaccard, "LARGE_CLASSES", classes)
+        got = sorted(map(str, jaccard.join(data).collect()))
+        want = want or got
+        assert got == want
+    by_id = {r.doc_id: r.component_id for r in jaccard.join(data).collect()}
+    assert all(by_id[i] == 7 for i in range(30, 60)) and by_id[9] == 8 and by_id[10] == 10 and by_id[None] == 7
