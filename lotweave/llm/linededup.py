@@ -93,8 +93,11 @@ def _lines() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         for batch in batches:
             for piece in tk.slices(batch.column(1)):
                 row, number, starts, ends = line_spans(piece)
-                solid = np.concatenate(([0], np.cumsum(~tk.BLANK[piece.data])))
-                long_ = np.flatnonzero(solid[ends] > solid[starts])
+                long_ = np.flatnonzero(ends > starts)
+                solid = ~tk.BLANK[piece.data[starts[long_]]]
+                for k in np.flatnonzero(~solid):  # begins with a blank: is there more?
+                    solid[k] = not tk.BLANK[piece.data[starts[long_[k]] : ends[long_[k]]]].all()
+                long_ = long_[solid]
                 hashes = tk.word_hashes(piece.data, starts[long_], ends[long_])
                 ids = batch.column(0).slice(piece.first, piece.rows).take(pa.array(row[long_]))
                 yield pa.RecordBatch.from_arrays(
