@@ -15,6 +15,7 @@ from lotweave.functions import geometry as g
 X0, Y0 = -13700000, 5300000
 PIXEL, RASTER_SIZE, STRIP = 10, 4500, 250
 NODATA = -9999.0
+SCENE, SCENE_PIXELS = 24, (5.0, 10.0, 20.0, 7.5)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -166,6 +167,27 @@ def raster(spark: SparkSession) -> DataFrame:
     )
 
 
+def scenes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(strips, sources): a small raster for every part, of four resolutions, overlapping, with holes and without some lines."""
+    k = F.col("p_partkey").cast("int")
+    pixel = F.element_at(F.array(*map(F.lit, SCENE_PIXELS)), F.pmod(k, F.lit(4)) + 1)
+    sources = spread(table(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey").select(
+        k.alias("source"), (F.col("p_size") % 5).cast("int").alias("priority"),
+        (X0 + (k % 40) * 90 + (k * 13 % 7) * 2.5).alias("x0"), (Y0 + F.floor(k / 40) * 90 + (k * 5 % 9) * 2.5).alias("y0"),
+        pixel.alias("pixel"), F.lit(SCENE // 3).alias("strip"), F.lit(NODATA).alias("nodata"),
+    )
+    lines = sources.select("source", F.explode(F.sequence(F.lit(0), F.lit(SCENE - 1))).alias("row_no")).where("(row_no + source) % 13 <> 0")
+    strips = lines.withColumn("strip_no", F.explode(F.array(*map(F.lit, range(3)))))
+    columns, k, r = F.sequence(F.col("strip_no") * (SCENE // 3), (F.col("strip_no") + 1) * (SCENE // 3) - 1), F.col("source"), F.col("row_no")
+    missing = F.lit(NODATA)
+    height = F.transform(columns, lambda c: F.when((c + r + k) % 11 == 0, missing).otherwise((31 * c + 17 * r + 3 * k) % 3000 - 5))
+    cover = F.transform(columns, lambda c: F.when((c * r + k) % 7 == 0, missing).otherwise((7 * c + 13 * r + k) % 9))
+    return strips.select(
+        "source", r.cast("long").alias("row_no"), F.col("strip_no").cast("long").alias("strip_no"),
+        height.cast("array<float>").alias("elevation"), cover.cast("array<float>").alias("cover"),
+    ), sources
+
+
 # ---- soil ---------------------------------------------------------------------------------------
 
 

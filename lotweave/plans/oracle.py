@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lotweave.plans import oracle_base as b
-from lotweave.plans.derived import NODATA, PIXEL, RASTER_SIZE, X0, Y0
+from lotweave.plans.derived import NODATA, PIXEL, RASTER_SIZE, SCENE, SCENE_PIXELS, STRIP, X0, Y0
 
 ORACLES: dict[str, str] = {}
 
@@ -540,6 +540,42 @@ GROUP BY id""",
     b.PARCELS,
     PIXELS,
 )
+add(
+    "raster_mosaic",
+    f"""
+SELECT tr AS row_no, CAST(floor(tc / {STRIP}) AS BIGINT) AS strip_no, count(h) AS heights,
+  CAST(coalesce(sum(CAST(floor(h * 1000) AS BIGINT) * (tc % {STRIP} % 7 + 1)), 0) AS BIGINT) AS height_sum, count(v) AS covers,
+  CAST(coalesce(sum(v * (tc % {STRIP} % 5 + 1)), 0) AS BIGINT) AS cover_sum
+FROM (
+  SELECT tr, tc, arg_min(h, pr::BIGINT * 1000000000 + k) FILTER (WHERE h IS NOT NULL) AS h,
+    arg_min(v, pr::BIGINT * 1000000000 + k) FILTER (WHERE v IS NOT NULL) AS v
+  FROM (SELECT k, pr, tr, tc, coalesce(m, near.h) AS h, near.v FROM scene_mean FULL JOIN scene_near near USING (k, pr, tr, tc)) GROUP BY tr, tc)
+WHERE h IS NOT NULL OR v IS NOT NULL GROUP BY 1, 2""",
+    f"""
+scene AS (
+  SELECT p_partkey AS k, p_size % 5 AS pr, [{", ".join(f"{p}::DOUBLE" for p in SCENE_PIXELS)}][p_partkey % 4 + 1] AS p,
+    {X0} + (p_partkey % 40) * 90 + (p_partkey * 13 % 7) * 2.5::DOUBLE AS x0,
+    {Y0} + (p_partkey // 40) * 90 + (p_partkey * 5 % 9) * 2.5::DOUBLE AS y0 FROM part)""",
+    f"""
+scene_px AS (
+  SELECT k, pr, p, x0, y0, r, c, CASE WHEN (c + r + k) % 11 <> 0 THEN (31 * c + 17 * r + 3 * k) % 3000 - 5 END AS h,
+    CASE WHEN (c * r + k) % 7 <> 0 THEN (7 * c + 13 * r + k) % 9 END AS v
+  FROM scene, range({SCENE}) a(r), range({SCENE}) b(c) WHERE (r + k) % 13 <> 0)""",
+    f"""
+scene_mean AS (
+  SELECT k, pr, CAST(floor((y0 + (r + 0.5::DOUBLE) * p - {Y0}) / {PIXEL}) AS BIGINT) AS tr,
+    CAST(floor((x0 + (c + 0.5::DOUBLE) * p - ({X0})) / {PIXEL}) AS BIGINT) AS tc, CAST(sum(h) AS DOUBLE) / count(h) AS m
+  FROM scene_px WHERE h IS NOT NULL GROUP BY ALL)""",
+    f"""
+scene_near AS (
+  SELECT k, pr, tr, tc, h, v FROM (
+    SELECT k, tr, tc, CAST(floor(({Y0} + (tr + 0.5::DOUBLE) * {PIXEL} - y0) / p) AS BIGINT) AS r,
+      CAST(floor(({X0} + (tc + 0.5::DOUBLE) * {PIXEL} - x0) / p) AS BIGINT) AS c FROM (
+      SELECT *, unnest(range(CAST(floor((x0 - ({X0})) / {PIXEL}) AS BIGINT) - 1, CAST((x0 + {SCENE} * p - ({X0})) / {PIXEL} AS BIGINT) + 2)) AS tc
+      FROM (SELECT *, unnest(range(CAST(floor((y0 - {Y0}) / {PIXEL}) AS BIGINT) - 1, CAST((y0 + {SCENE} * p - {Y0}) / {PIXEL} AS BIGINT) + 2)) AS tr
+        FROM scene)))
+  JOIN scene_px USING (k, r, c))""",
+)
 assert NODATA == -9999.0
 
 add(

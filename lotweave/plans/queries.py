@@ -19,6 +19,7 @@ from lotweave.operators import maintenance as m
 from lotweave.operators import soil, zonal
 from lotweave.operators.cluster import cluster_within
 from lotweave.operators.dissolve import dissolve, repair
+from lotweave.operators.mosaic import mosaic
 from lotweave.operators.overlap import largest_overlap, overlay_pairs
 from lotweave.operators.reducers import Quantiles
 from lotweave.operators.spatial_join import points_in_polygons, spatial_pairs
@@ -562,6 +563,22 @@ def zonal_custom(spark, sf):
     return zonal.reduce_zones(_zonal_parcels(spark, sf), d.raster(spark), GRID, ["id"], wanted)
 
 
+@query
+def raster_mosaic(spark, sf):
+    """A raster for every part on one grid: what each strip holds, as numbers that tell its pixels and their places."""
+    strips = mosaic(*d.scenes(spark, sf), GRID)
+
+    def told(name: str, scale: int, turn: int) -> tuple:
+        valid = F.filter(F.transform(name, lambda v, j: F.struct(v.alias("v"), j.alias("j"))), lambda p: p["v"] != d.NODATA)
+        weighed = F.transform(valid, lambda p: F.floor(p["v"] * scale) * (p["j"] % turn + 1))
+        return F.size(valid).cast("long"), F.aggregate(weighed, F.lit(0).cast("long"), lambda a, v: a + v)
+
+    (heights, height_sum), (covers, cover_sum) = told("elevation", 1000, 7), told("cover", 1, 5)
+    return strips.select(
+        "row_no", "strip_no", heights.alias("heights"), height_sum.alias("height_sum"), covers.alias("covers"), cover_sum.alias("cover_sum")
+    )
+
+
 @query
 def extent_tiles(spark, sf):
     shapes = d.counties(spark, sf).select("geom").union(d.places(spark, sf).select("geom")).distinct()
