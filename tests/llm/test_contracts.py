@@ -123,14 +123,25 @@ def test_lm_score(result, documents, spark):
             for table, key in ((token, t), (first, b), (pair, p)):
                 table[key][0] += i in good
                 table[key][1] += 1
+    totals = [sum(v[which] for v in token.values()) for which in (0, 1)]
+    onces = [sum(v[which] for v in token.values() if v[1] == 1) for which in (0, 1)]
     for r in result("op1_lm_score"):
         own = steps[r["doc_id"]]
         assert r["n_tokens"] == len(own)
+        mine = [Counter(s[k] for s in own) for k in range(3)]
+        listed = r["doc_id"] in good
+        rest = [totals[0] - len(own) * listed, totals[1] - len(own)]
+        own_once = sum(token[t][1] == 1 for t, _, _ in own)
+        once, matched = [onces[0] - own_once * listed, onces[1] - own_once], rest[0] / rest[1]
         for which, name in enumerate(("target_loss", "background_loss")):
-            total = sum(v[which] for v in token.values())
-            uni = lambda t: (token[t][which] + lmscore.SMOOTH) / (total + lmscore.SMOOTH * 2**lmscore.UNI)
+            part = matched if which else 1
+            rate = matched if which else (once[0] + lmscore.SMOOTH) / (once[1] + lmscore.SMOOTH / matched)
+            left = lambda table, k, key: table[key][which] - mine[k][key] * (listed or which)
+            smooth = lambda t: rate if token[t][1] == mine[0][t] else part * left(token, 0, t) + lmscore.SMOOTH
+            uni = lambda t: smooth(t) / (part * rest[which] + lmscore.SMOOTH * 2**lmscore.UNI)
+            seen = lambda p: left(pair, 2, p) * (1 - (1 - part) ** left(pair, 2, p))
             losses = [
-                -np.log(lmscore.MIX * min(pair[p][which] / max(first[b][which], 1), 1) + (1 - lmscore.MIX) * uni(t)) for t, b, p in own
+                -np.log(lmscore.MIX * min(seen(p) / max(left(first, 1, b), 1), 1) + (1 - lmscore.MIX) * uni(t)) for t, b, p in own
             ]
             assert abs(np.mean(losses) - r[name]) < 1e-9
 

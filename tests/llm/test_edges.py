@@ -27,6 +27,9 @@ def test_lm_score(odd, none, labels):
     assert len(rows) == odd.count() and all((r.difference is None) == (r.n_tokens == 0) for r in rows)
     assert lmscore.score(none, good).count() == 0
     assert all(r.difference in (None, 0) for r in lmscore.score(odd, good.where("false")).collect())
+    clash = odd.withColumnRenamed("doc_id", "_marked").withColumn("records", odd.n)
+    with_key = {(r[0], r.n_tokens, r.difference) for r in lmscore.score(clash, good.select(good.doc_id.alias("_marked")), "_marked").collect()}
+    assert with_key == {(r.doc_id, r.n_tokens, r.difference) for r in rows}
 
 
 def test_quality(odd, none):
@@ -145,21 +148,51 @@ def test_lm_score_tells_every_ngram_apart(spark, monkeypatch):
     steps = {i: list(zip(["", *t.split()], t.split())) for i, t in rows}
     size = len({w for s in steps.values() for _, w in s})
     assert size > 2**lmscore.UNI
-    expected = {}
-    for which, own in (("target_loss", good), ("background_loss", set(steps))):
-        pair = Counter(p for i in own for p in steps[i])
+    tables = []
+    for docs in (good, set(steps)):
+        pair = Counter(p for i in docs for p in steps[i])
         first, token = Counter(), Counter()
         for (b, w), n in pair.items():
             first[b] += n
             token[w] += n
-        base = sum(token.values()) + lmscore.SMOOTH * size
-        loss = lambda p: -math.log(0.7 * pair[p] / max(first[p[0]], 1) + 0.3 * (token[p[1]] + lmscore.SMOOTH) / base)
-        expected[which] = {i: sum(map(loss, s)) / len(s) for i, s in steps.items()}
+        tables.append((pair, first, token))
+    expected = {"target_loss": {}, "background_loss": {}}
+    for i, own in steps.items():
+        mine = Counter(own), Counter(b for b, _ in own), Counter(w for _, w in own)
+        rest = [sum(t[2].values()) - len(own) * on for t, on in zip(tables, (i in good, True))]
+        everywhere = tables[1][2]
+        own_once = sum(everywhere[w] == 1 for _, w in own)
+        once = [sum(t[2][w] for w, n in everywhere.items() if n == 1) - own_once * on for t, on in zip(tables, (i in good, True))]
+        matched = rest[0] / rest[1]
+        for which, name in enumerate(expected):
+            part, on = (matched, 1) if which else (1, i in good)
+            rate = matched if which else (once[0] + lmscore.SMOOTH) / (once[1] + lmscore.SMOOTH / matched)
+            pair, first, token = ({k: t[k] - on * m[k] for k in m} for t, m in zip(tables[which], mine))
+            base = part * rest[which] + lmscore.SMOOTH * size
+            seen = lambda p: pair[p] / max(first[p[0]], 1) * (1 - (1 - part) ** pair[p])
+            smooth = lambda w: rate if everywhere[w] == mine[2][w] else part * token[w] + lmscore.SMOOTH
+            expected[name][i] = sum(-math.log(0.7 * seen(p) + 0.3 * smooth(p[1]) / base) for p in own) / len(own)
     found = got.collect()
     assert len(found) == len(rows)
     assert all(abs(r[name] - own[r.doc_id]) < 1e-9 for r in found for name, own in expected.items())
 
 
+def test_lm_score_does_not_tell_who_is_listed(spark):
+    """Half of the good documents on the list: the other half scores alike, and good and bad stay apart."""
+    import numpy as np
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("quality IS NOT NULL").select("doc_id", "quality").distinct()
+    got = lmscore.score(docs, labels.where("quality = 1 AND crc32(cast(doc_id AS string)) % 2 = 0"))
+    rows = got.join(labels, "doc_id").where("difference IS NOT NULL").selectExpr("difference", "quality", "crc32(cast(doc_id AS string)) % 2 AS held").collect()
+    value, good, held = (np.array([r[k] for r in rows], dtype=float) for k in range(3))
+    means = [value[(good == 1) & (held == k)].mean() for k in (0, 1)]
+    a, b = value[(held == 1) & (good == 1)], value[(held == 1) & (good == 0)]
+    auc = (np.searchsorted(np.sort(b), a, "left") + np.searchsorted(np.sort(b), a, "right")).sum() / (2 * len(a) * len(b))
+    assert abs(means[0] - means[1]) < 0.1
+    assert 1 - auc > 0.89
+
+
 def test_line_dedup(odd, none):
     single = odd.where("doc_id IS NOT NULL AND doc_id <> 5 AND length(text) < 200000").dropDuplicates(["doc_id"])
     got = {(r.doc_id, r.line): (r.first_doc, r.first_line, r.distance) for r in linededup.repeats(single).collect()}
