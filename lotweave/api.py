@@ -243,7 +243,7 @@ def _build_coa(ws: Workspace, state: str) -> str:
 
 def _build_soil(ws: Workspace, state: str) -> str:
     rows = soil.soil_application(ws.staging(state, "soil_data"), ws.staging(state, "soil_geom"))
-    return ws.write_app_table(rows, f"{state}_app_soiltype", ["mukey", "areasym", "musym", "geometry"])
+    return ws.write_app_table(rows, f"{state}_app_soiltype", ["mukey", "areasym", "musym", "geometry"], CONTRACTS["oregon_app_soiltype"])
 
 
 def _build_populationpoint(ws: Workspace, state: str) -> str:

@@ -77,6 +77,10 @@ CONTRACTS = {
         lengths={"huc12": 24, "coa_name": 255, "coa_id": 6, "ecoregion": 255, "profile_link": 255},
         polygonal=("geometry",),
     ),
+    "oregon_app_soiltype": Contract(
+        lengths={"mukey": 100, "areasym": 100, "musym": 100, "si_label": 255, "muname": 255, "drclssd": 100, "frphrtd": 100},
+        polygonal=("geometry",),
+    ),
 }
 
 
