@@ -3,18 +3,23 @@
 Both sides are spread over the grid cells their bounding boxes cover and joined
 on the cell. A pair that shares several cells is kept only in the cell holding
 the lower-left corner of the shared box, so no shuffle is spent on removing
-repeats. Rectangles travel as four numbers; other shapes carry their vertices.
+repeats. Rectangles travel as four numbers; other shapes carry their vertices
+and are compared by one sweep over the edges of a whole Arrow batch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lotweave.functions import geometry as g
+from lotweave.functions import sweep
 from lotweave.functions.reuse import built_once, with_computed
+from lotweave.session import ship_package
 
 DEFAULT_CELL = 2500.0
 
@@ -72,17 +77,23 @@ def _both_rectangles() -> Column:
     return F.col("l_shape").isNull() & F.col("r_shape").isNull()
 
 
-@built_once
-def _pair_intersects() -> Column:
-    return _both_rectangles() | g.intersects(_shape("l"), _shape("r"))
+@F.arrow_udf(returnType=T.DoubleType())
+def _swept(pairs: pa.Array) -> pa.Array:
+    return sweep.overlaps_of(pairs)
 
 
-@built_once
 def shared_area() -> Column:
-    """Overlap of the current pair: four subtractions for rectangles, exact sum otherwise."""
+    """Overlap of the current pair, 0 where the two only touch and NULL where they are apart.
+
+    Boxes that meet settle a pair of rectangles with four subtractions. All other pairs are swept
+    in Arrow batches; rectangles reach that step as nulls. Both shapes of a pair travel in one
+    column, because Spark measures every list column after each row. The sweep counts as not
+    deterministic so that no filter copies it.
+    """
     width = F.least("l_box.maxx", "r_box.maxx") - F.greatest("l_box.minx", "r_box.minx")
     height = F.least("l_box.maxy", "r_box.maxy") - F.greatest("l_box.miny", "r_box.miny")
-    return F.when(_both_rectangles(), width * height).otherwise(g.overlap_area(_shape("l"), _shape("r")))
+    swept = _swept.asNondeterministic()(F.when(~_both_rectangles(), F.array(_shape("l"), _shape("r"))))
+    return F.when(_both_rectangles(), width * height).otherwise(swept)
 
 
 def spatial_pairs(
@@ -104,13 +115,11 @@ def spatial_pairs(
         raise ValueError(f"columns kept on both sides: {sorted(clash)}")
     lefts = cover_cells(with_box(left, "l", left_keep, geom), "l_box", cell)
     rights = cover_cells(with_box(right, "r", right_keep, geom), "r_box", cell)
-    pairs = (
-        lefts.join(rights, ["cx", "cy"])
-        .where(_boxes_meet() & _first_shared_cell(cell))
-        .where(_pair_intersects())
-    )
-    extra = [shared_area().alias(overlap)] if overlap else []
-    return pairs.select(*left_keep, *right_keep, *extra)
+    ship_package(left.sparkSession)
+    met = lefts.join(rights, ["cx", "cy"]).where(_boxes_meet() & _first_shared_cell(cell))
+    shared = overlap or "_shared"
+    pairs = met.select(*left_keep, *right_keep, shared_area().alias(shared)).where(F.col(shared).isNotNull())
+    return pairs if overlap else pairs.drop(shared)
 
 
 @built_once

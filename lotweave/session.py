@@ -20,6 +20,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "lot
         .config("spark.ui.enabled", "false")
         # expressions here have many nodes; recording a Python call site for each costs more than the job
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # below the largest value Spark adds up the bytes of every list column after each row, 30 microseconds a row
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(2**31 - 1))
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
