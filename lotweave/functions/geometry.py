@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lotweave.functions.overlay import NO_NUMBER, NOT_CLOSED
+
 GEOMETRY = "array<array<array<struct<x:double,y:double>>>>"
 
 
@@ -203,6 +205,17 @@ def closed_and_sized(geom: Column) -> Column:
     )
 
 
+def unusable(geom: Column) -> Column:
+    """Why a geometry can't take part in an overlay, NULL if it can: the remarks of the overlay kernel."""
+
+    def odd(v):
+        return F.coalesce(F.isnan(v) | (F.abs(v) == float("inf")), F.lit(True))
+
+    numbers = F.exists(vertices(geom), lambda v: odd(v["x"]) | odd(v["y"]))
+    ring_open = F.exists(rings(geom), lambda ring: (F.size(ring) > 0) & (ring[0] != F.element_at(ring, -1)))
+    return F.when(numbers, NO_NUMBER).when(ring_open, NOT_CLOSED)
+
+
 def segments_cross(e: Column, f: Column) -> Column:
     """True when two segments cross at a point inside both."""
 

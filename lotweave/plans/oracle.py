@@ -196,6 +196,16 @@ add(
   SELECT p.fid AS a, f.fid AS b, sum({OVERLAP}) AS area FROM fr p JOIN fr f ON p.layer_no = 0 AND f.layer_no = 1 AND {MEET} GROUP BY ALL) WHERE area > 0""",
     *SHAPES,
 )
+HARM = "CASE WHEN fid // 5 % 11 = 3 THEN 'ring that is not closed' WHEN fid // 5 % 13 = 5 THEN 'coordinate that is not a number' END"
+add(
+    "overlay_quarantine",
+    f"""SELECT a, b, round(CAST(area AS DOUBLE), 2) AS area, CAST(NULL AS VARCHAR) AS reason FROM (
+  SELECT p.fid AS a, f.fid AS b, sum({OVERLAP}) AS area FROM (SELECT * FROM fr WHERE layer_no = 0 AND {HARM} IS NULL) p
+  JOIN (SELECT * FROM fr WHERE layer_no = 1 AND {HARM} IS NULL) f ON {MEET} GROUP BY ALL) WHERE area > 0
+UNION ALL SELECT CASE layer_no WHEN 0 THEN fid END, CASE layer_no WHEN 1 THEN fid END, NULL, {HARM}
+FROM fx_layer WHERE layer_no < 2 AND {HARM} IS NOT NULL""",
+    *SHAPES,
+)
 add(
     "ingest_status",
     """SELECT layer, status, count(*) AS pages FROM (

@@ -20,7 +20,7 @@ from lotweave.operators import soil, zonal
 from lotweave.operators.cluster import cluster_within
 from lotweave.operators.dissolve import dissolve, repair
 from lotweave.operators.mosaic import mosaic
-from lotweave.operators.overlap import largest_overlap, overlay_pairs
+from lotweave.operators.overlap import largest_overlap, overlay_or_quarantine, overlay_pairs
 from lotweave.operators.reducers import Quantiles
 from lotweave.operators.spatial_join import points_in_polygons, spatial_pairs
 from lotweave.plans import counties as cty
@@ -607,6 +607,22 @@ def source_filter(spark, sf):
     return rows.select("event_id", "user_id", "value")
 
 
+@query
+def overlay_quarantine(spark, sf):
+    """Two layers in which some outlines are open and some corners are no numbers: what could be overlaid, and the reasons of the rest."""
+
+    def harmed(number, name):
+        open_ = F.transform("geom", lambda part: F.transform(part, lambda ring: F.slice(ring, F.lit(1), F.size(ring) - 1)))
+        lost = g.map_vertices(F.col("geom"), lambda v: g.point(F.when(v["x"] == F.col("_b.maxx"), F.lit(float("nan"))).otherwise(v["x"]), v["y"]))
+        rows = _layer_shapes(spark, sf, number).withColumn("_b", g.bbox(F.col("geom")))
+        geom = F.when(F.expr("fid div 5 % 11 = 3"), open_).when(F.expr("fid div 5 % 13 = 5"), lost).otherwise(F.col("geom"))
+        return rows.select(F.col("fid").alias(name), geom.alias("geom"))
+
+    rows, bad = overlay_or_quarantine(harmed(0, "a"), harmed(1, "b"), ["a"], ["b"])
+    fine = rows.select("a", "b", F.round(g.area(F.col("geom")), 2).alias("area"), F.col("remark").alias("reason"))
+    return fine.unionByName(bad, allowMissingColumns=True)
+
+
 @query
 def ingest_status(spark, sf):
     """Planned pages against stored ones: what is missing, failed or short, per layer."""

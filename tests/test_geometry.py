@@ -181,3 +181,50 @@ def test_crossing_between_rings_and_long_rings(spark):
     rows = [(1, as_geom(crossing)), (2, as_geom(touching)), (3, as_geom(HOLED)), (4, as_geom([[[*ring, ring[0]]]])), (5, as_geom([[[*bent, bent[0]]]])), (6, as_geom(BOW_TIE))]
     got = {r.id: r.v for r in frame(spark, rows).select("id", g.self_crosses(F.col("geom")).alias("v")).collect()}
     assert got == {1: True, 2: False, 3: False, 4: False, 5: True, 6: True}
+
+
+def test_rows_that_cannot_be_overlaid_say_why():
+    from lotweave.operators.dissolve import _overlaid_or_fault
+
+    ring = _edges(square(0, 0, 4))
+    lost = ring.copy()
+    lost[0, 0] = np.nan
+    inner = _edges(square(1, 1))
+    fine, remark = _overlaid_or_fault([[ring], [inner]], "both_rule")
+    assert _area(fine) == pytest.approx(1) and remark is None
+    assert _overlaid_or_fault([[ring[:-1]], [inner]], "both_rule") == (None, ov.NOT_CLOSED)
+    assert _overlaid_or_fault([[inner], [lost]], "both_rule") == (None, ov.NO_NUMBER)
+    assert _overlaid_or_fault([[], [inner]], "both_rule") == ([], None)
+
+
+def test_a_kernel_that_gives_up_costs_one_row(monkeypatch):
+    from lotweave.operators.dissolve import _overlaid_or_fault
+
+    tried = []
+
+    def walk(segs):
+        tried.append(len(segs))
+        if len(tried) <= stubborn:
+            raise ov.OpenBoundary("a boundary of 4 segments does not close")
+        return kept(segs)
+
+    kept = ov._walk
+    monkeypatch.setattr(ov, "_walk", walk)
+    layers = [[_edges(square(0, 0, 4))], [_edges(square(1, 1))]]
+    stubborn = 1
+    fine, remark = _overlaid_or_fault(layers, "both_rule")
+    assert _area(fine) == pytest.approx(1) and remark == "rounded to a grid 16 times coarser"
+    tried.clear()
+    stubborn = len(ov.COARSER)
+    assert _overlaid_or_fault(layers, "both_rule") == (None, "a boundary of 4 segments does not close")
+
+
+def test_unusable(spark):
+    nan, inf = float("nan"), float("inf")
+    cases = [
+        (HOLED, None), ([], None), ([[HOLED[0][0][:-1]]], ov.NOT_CLOSED), ([[HOLED[0][0], HOLED[0][1][:-1]]], ov.NOT_CLOSED),
+        ([[[(0, 0), (nan, 1), (1, 1), (0, 0)]]], ov.NO_NUMBER), ([[[(0, 0), (0, inf), (1, 1), (0, 0)]]], ov.NO_NUMBER),
+    ]
+    rows = frame(spark, [(i, as_geom(s)) for i, (s, _) in enumerate(cases)] + [(len(cases), None)])
+    got = [r.v for r in rows.orderBy("id").select(g.unusable(F.col("geom")).alias("v")).collect()]
+    assert got == [reason for _, reason in cases] + [None]
