@@ -18,6 +18,7 @@ from lotweave.operators.spatial_join import DEFAULT_CELL
 from lotweave.plans import counties, layers, taxlots
 from lotweave.session import durable
 from lotweave.sources import catalog, features, paged, pages, vector
+from lotweave.sources import split as vector_split
 from lotweave.sources.export import CONTRACTS, apply_defaults, export_table, verify_export
 from lotweave.workspace import Workspace
 
@@ -279,20 +280,24 @@ def import_vector(
     srid: int | None = None,
     t_srid: int | None = None,
     mode: str = "error",
+    split: bool = False,
 ) -> DataFrame:
     """Load GeoJSON (or a delimited file with a ``wkt`` column) into staging; returns quarantined rows.
 
-    GeoJSON without a ``schema`` is read once more to infer one.
+    GeoJSON without a ``schema`` is read once more to infer one. ``split`` reads a document by many tasks, cut at
+    feature borders; it is needed for documents that don't fit into a row.
     """
     delimited = path.lower().endswith((".csv", ".txt"))
     if schema is None:
         if delimited:
             raise ValueError("a delimited file needs a schema")
-        schema = vector.geojson_schema(ws.spark, path)
+        documents = vector_split.feature_documents(ws.spark, path) if split else None
+        schema = vector.geojson_schema(ws.spark, path, documents)
     if delimited:
         loaded, bad = vector.read_wkt_csv(ws.spark, path, schema, srid=srid or 4326, target=t_srid)
     else:
-        loaded, bad = vector.read_geojson(ws.spark, path, schema, srid, t_srid)
+        read = vector_split.read_geojson_split if split else vector.read_geojson
+        loaded, bad = read(ws.spark, path, schema, srid, t_srid)
     ws.write_staging(loaded, state, table, mode)
     return bad
 

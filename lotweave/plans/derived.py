@@ -326,3 +326,21 @@ def stored_pages(spark: SparkSession, sf_dir: str, root: str, failed: str = "fal
     body = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.col("held.feature"), ","), F.lit("]}"))
     value = F.when(F.expr(failed), '{"error":{"code":500}}').otherwise(body)
     pages.select("layer", "offset", value.alias("value")).write.partitionBy("layer", "offset").text(root)
+
+
+def one_document(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """All parcels as one FeatureCollection in one file, a line a feature; other members stand before and after."""
+    ring = "[[" + ",".join(["[%d,%d]"] * 5) + "]]"
+    corners = [F.col(c) for pair in (("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"), ("x0", "y0")) for c in pair]
+    shape = F.format_string('{"type":"Polygon","coordinates":' + ring + "}", *corners)
+    geometry = F.when(F.col("id") % 41 == 0, "null").otherwise(shape)
+    properties = F.to_json(F.struct(F.col("id").alias("NUMBER"), F.concat(F.lit('a "b]" \\ {[}'), "county").alias("NAME")))
+    rows = parcels(spark, sf_dir)
+    first = F.col("id") == rows.agg(F.min("id")).first()[0]
+    comma = F.when(first, "").otherwise(",")
+    feature = F.concat(comma, F.format_string('{"type":"Feature","properties":%s,"geometry":%s}', properties, geometry))
+    head = '{"type":"FeatureCollection","links":[{"features":[{"a":1}]}],"features":['
+    tail = '],"crs":{"type":"name","properties":{"name":"urn:ogc:def:crs:EPSG::3857"}},"more":[{"properties":{}}]}'
+    lines = rows.select("id", feature.alias("value"))
+    edge = spark.createDataFrame([(-1, head), (2**62, tail)], "id long, value string")
+    lines.unionByName(edge).coalesce(1).sortWithinPartitions("id").select("value").write.text(path)

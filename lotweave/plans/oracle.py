@@ -686,6 +686,14 @@ add(
 FROM fx_parcels WHERE landuse_cd IS NULL OR landuse_cd = 13""",
     b.PARCELS,
 )
+add(
+    "vector_split",
+    """SELECT id AS NUMBER, 'a "b]" \\ {[}' || county AS NAME, CASE WHEN id % 41 <> 0 THEN 3857 END AS srid,
+  CASE WHEN id % 41 <> 0 THEN CAST((x1 - x0) * (y1 - y0) AS DOUBLE) END AS area,
+  CASE WHEN id % 41 = 0 THEN 'missing geometry' END AS reason
+FROM fx_parcels""",
+    b.PARCELS,
+)
 add(
     "vector_import",
     """SELECT id, CAST(2913 AS INTEGER) AS srid, CAST(x0 AS DOUBLE) AS x0, CAST(y0 AS DOUBLE) AS y0, CAST(x1 AS DOUBLE) AS x1,

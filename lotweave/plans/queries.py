@@ -28,6 +28,7 @@ from lotweave.plans import derived as d
 from lotweave.plans import layers as lay
 from lotweave.plans import taxlots as tx
 from lotweave.session import durable, ensure_checkpoint_dir
+from lotweave.sources.split import read_geojson_split
 from lotweave.sources import catalog, export, features, paged, pages
 from lotweave.workspace import Workspace
 
@@ -743,6 +744,16 @@ def vector_import(spark, sf):
     )
 
 
+@query
+def vector_split(spark, sf):
+    """One document with all parcels, read by byte ranges; its reference system stands behind the features."""
+    path = f"{ensure_checkpoint_dir(spark)}/document-{uuid.uuid4().hex}"
+    d.one_document(spark, sf, path)
+    loaded, bad = read_geojson_split(spark, path, catalog.declared_schema("NUMBER,NAME", "BIGINT,VARCHAR(40)"))
+    fine = loaded.select("NUMBER", "NAME", "srid", g.area(F.col("geom")).alias("area"), F.lit(None).cast("string").alias("reason"))
+    return fine.unionByName(bad.select("NUMBER", "NAME", "reason"), allowMissingColumns=True)
+
+
 @query
 def metadata_catalog(spark, sf):
     field = F.array(

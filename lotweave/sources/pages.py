@@ -49,7 +49,7 @@ def ledger_summary(pages: DataFrame) -> DataFrame:
 
 def _stored_files(spark: SparkSession, root: str) -> DataFrame:
     """(layer, path, value) of the stored files; Spark's readers leave empty files out."""
-    raw = spark.read.option("wholetext", True).option("basePath", root).text(f"{root}/layer=*")
+    raw = spark.read.option("basePath", root).text(f"{root}/layer=*", wholetext=True)
     return raw.select("layer", F.col("_metadata.file_path").alias("path"), "value")
 
 

@@ -28,7 +28,7 @@ def read_geojson(
     Without ``srid`` each document's own reference system counts; the distinct
     ones present decide which transforms the plan holds.
     """
-    documents = spark.read.option("wholetext", True).text(path)
+    documents = spark.read.text(path, wholetext=True)
     if srid is not None:
         loaded, bad = with_geometry(feature_rows(documents, "value", schema), "geometry", "geojson", srid, target)
         return loaded, bad
@@ -85,7 +85,8 @@ def infer_geojson_schema(documents: DataFrame, body: str = "value") -> DataFrame
     )
 
 
-def geojson_schema(spark: SparkSession, path: str) -> T.StructType:
-    """Inferred schema of GeoJSON documents, fields in order of name."""
-    found = infer_geojson_schema(spark.read.option("wholetext", True).text(path)).orderBy("name").collect()  # a row a field
+def geojson_schema(spark: SparkSession, path: str, documents: DataFrame | None = None) -> T.StructType:
+    """Inferred schema of GeoJSON documents (those at ``path`` unless given), fields in order of name."""
+    texts = spark.read.text(path, wholetext=True) if documents is None else documents
+    found = infer_geojson_schema(texts).orderBy("name").collect()  # a row a field
     return declared_schema(",".join(r.name for r in found), ",".join(r.sql_type for r in found))
