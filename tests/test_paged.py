@@ -155,3 +155,13 @@ def test_a_replayed_page_may_lose_its_rows(spark, tmp_path, entries, store):
     (folder / "5.json").write_text(json.dumps({"features": [{"properties": {"NAME": "x"}, "geometry": None}] * 5}))
     api.replay(ws, "OR", entries, str(store))
     assert files_of(ws, 5) is None and files_of(ws, 0) and ws.staging("oregon", "fpd_quarantine").count() == 5
+
+
+def test_a_page_of_several_lines_is_one_page(spark, tmp_path):
+    from lotweave.sources import pages
+
+    folder = tmp_path / "layer=fpd"
+    folder.mkdir()
+    (folder / "offset=0.json").write_text('{\n "features": [\n ]\n}\n')
+    rows = pages._stored_files(spark, str(tmp_path)).collect()
+    assert [r.value for r in rows] == ['{\n "features": [\n ]\n}\n']
