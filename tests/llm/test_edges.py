@@ -1,9 +1,12 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and further columns."""
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from lotweave.llm import decontaminate, htmltext, jaccard, linededup, lmscore, packing, quality, suffixdedup, toxicity, urlrules
+from lotweave.llm import textkit as tk
 from lotweave.llm.queries import vocabulary
 from tests.llm import brute
 
@@ -372,3 +375,25 @@ def test_jaccard_large_classes(spark, monkeypatch):
         assert got == want
     by_id = {r.doc_id: r.component_id for r in jaccard.join(data).collect()}
     assert all(by_id[i] == 7 for i in range(30, 60)) and by_id[9] == 8 and by_id[10] == 10 and by_id[None] == 7
+
+
+def test_spellings_reach_the_end_of_long_words():
+    """Words that part after the tenth character are told apart."""
+    data = pa.array(["Donaudampfschiff", "Donaudampfkessel", "Donaudampf"])
+    (piece,) = tk.slices(data)
+    step, before, row, _ = toxicity.spelling_steps(piece)
+    own = [set(step[row == i].tolist()) for i in range(3)]
+    assert len(own[0] - own[1]) == len(own[1] - own[0]) == 1 and len(own[0] & own[1]) == 10
+    assert len(own[0]) == len(own[1]) == len(own[2]) == 11
+    assert len(set(before[(row == 0) & np.isin(step, list(own[0] - own[1]))].tolist())) == 1
+
+
+def test_every_language_has_a_model_and_a_band(spark):
+    """More languages than a task counts at a time, and null: none shares another's counts."""
+    names = [None, *(f"x{i}" for i in range(quality.HELD + 6))]
+    rows = [(i, f"{'abcdefg'[i % 7]}{i} " * 60, names[i % len(names)]) for i in range(2 * len(names))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    counted = {r.lang: r.n for r in quality.count_trigrams(docs).groupBy("lang").sum("n").withColumnRenamed("sum(n)", "n").collect()}
+    assert counted == {name: sum(len(t) + 1 for _, t, lang in rows if lang == name) for name in names}
+    judged = quality.judge(docs).select("lang", "model", "low", "high").distinct().collect()
+    assert len({r.model for r in judged}) == len(judged) == len(names) and all(r.low < r.high for r in judged)
