@@ -12,7 +12,7 @@ from lotweave.operators.cluster import cluster_within, components_across_cluster
 from lotweave.operators.dissolve import cell_pieces, dissolve, subdivide
 from lotweave.operators.overlap import largest_overlap, overlay_pairs
 from lotweave.operators.reducers import Reducer
-from lotweave.operators.spatial_join import spatial_pairs
+from lotweave.operators.spatial_join import cover_cells, met_pairs, points_in_polygons, spatial_pairs, with_box
 from lotweave.operators.zonal import Grid, class_histogram, parcel_statistics
 from tests.shapes import as_geom, components, convex_clip_area, convex_distance, frame, square, triangle
 
@@ -265,3 +265,46 @@ def test_reducers_of_nothing(spark, pixels):
     for reducer in (reducers.Statistics(), reducers.Histogram(), reducers.Quantiles({"m": 0.5})):
         assert zonal.reduce_zones(far, table, grid, ["k"], reducer).count() == 0
         assert zonal.reduce_zones(far.where("false"), table, grid, ["k"], reducer).count() == 0
+
+
+def test_joins_on_cells_are_dealt_over_tasks(spark):
+    """Small derived sides make many pairs: they are not broadcast, and pairs of rectangles stay out of Python."""
+    a = frame(spark, [(i, as_geom(square(7 * i, 0, 10))) for i in range(6)])
+    b = frame(spark, [(1, as_geom(square(0, 0, 30))), (2, as_geom([[[(0, 0), (40, 0), (0, 40), (0, 0)]]]))], f"fid long, geom {KIND}")
+    spots = a.select("id", g.centroid(F.col("geom")).alias("spot"))
+    for joined in (spatial_pairs(a, b, ["id"], ["fid"]), overlay_pairs(a, b, ["id"], ["fid"]), points_in_polygons(spots, b, "spot", ["id"], ["fid"])):
+        plan = plan_of(joined)
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and "REPARTITION_BY_NUM" in plan
+    sides = [cover_cells(with_box(df, s, [k]), f"{s}_box", 15.0) for df, s, k in ((a, "l", "id"), (b, "r", "fid"))]
+    plain, others = met_pairs(*sides, 15.0)
+    assert "Python" not in plan_of(plain)
+    assert {r.fid for r in plain.collect()} == {1} and {r.fid for r in others.collect()} == {2}
+
+
+def test_rectangles_are_valid_without_a_look_at_their_edges(spark):
+    from lotweave.operators.dissolve import is_valid
+
+    rows = frame(spark, [(1, as_geom(square(0, 0, 5))), (2, as_geom([[[(0, 0), (5, 5), (5, 0), (0, 5), (0, 0)]]])), (3, as_geom([[[(0, 0), (5, 0), (5, 0), (0, 0), (0, 0)]]])), (4, None)])
+    assert {r.id: r.ok for r in rows.select("id", is_valid(F.col("geom")).alias("ok")).collect()} == {1: True, 2: False, 3: False, 4: True}
+    assert "THEN true" in str(is_valid(F.col("geom"))) and str(is_valid(F.col("geom"))).index("CASE WHEN") < 12
+
+
+def test_inner_rectangles_do_not_reach_the_overlay(monkeypatch):
+    from lotweave.functions import overlay as ov
+
+    def box(x, y, w, h, turned=False):
+        xy = np.array([(x, y), (x + w, y), (x + w, y + h), (x, y + h)], dtype=float)
+        xy = xy[::-1] if turned else xy
+        return np.concatenate([xy, np.roll(xy, -1, axis=0)], axis=1)
+
+    rng = random.Random(3)
+    boxes = [(rng.randrange(9), rng.randrange(9), rng.randrange(1, 30), rng.randrange(1, 30)) for _ in range(60)]
+    cells = {(x + i, y + j) for x, y, w, h in boxes for i in range(w) for j in range(h)}
+    sizes = []
+    real = ov.overlay
+    monkeypatch.setattr(ov, "overlay", lambda layers, rule: sizes.append(sum(map(len, layers))) or real(layers, rule))
+    rings = [np.array(r).reshape(-1, 2) for part in ov.union_of([box(*b) for b in boxes]) for r in part]
+    assert sum(ov._signed_area(r[:-1]) for r in rings) == len(cells) and max(sizes) < 4 * len(boxes) / 2
+    # the same box drawn from another corner, and a hole, which is no rectangle of its own
+    again = np.roll(box(0, 0, 5, 5), 1, axis=0)
+    assert len(ov._outer([box(0, 0, 5, 5), again])) == 1 and len(ov._outer([box(0, 0, 5, 5), box(1, 1, 2, 2, True)])) == 2
