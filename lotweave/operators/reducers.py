@@ -1,18 +1,18 @@
 """What is computed from the pixels of a zone: reducers in three steps, and the raster tile they see.
 
-A ``Tile`` is a block of scan lines of one strip with the pixel runs of the zones in it. Prefix counts and sparse tables of
-minima and maxima are made once a tile; then a run costs two look-ups whatever its length.
+A ``Tile`` is a window of the raster with the pixel blocks of the zones in it. Prefix counts and sparse tables of
+minima and maxima are made once a tile; then a block costs four look-ups whatever its size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
-from functools import cached_property
 
 import numpy as np
 
 MISSING = -(1 << 31)
 PIECE = 1 << 20
+KEPT = 16  # classes whose prefix counts tiles of the same pixels share
 FOREST_CLASS = 1
 
 #: Zone numbers, one for each row of state, and the state's columns.
@@ -20,47 +20,70 @@ States = tuple[np.ndarray, Mapping[str, np.ndarray]]
 
 
 class Tile:
-    """``elevation`` (NaN: missing) and ``cover`` (``MISSING``) by line and column; run ``i`` of ``zone[i]`` is ``length[i]`` pixels from ``first[i]``."""
+    """``elevation`` (NaN: missing) and ``cover`` (``MISSING``) by line and column.
 
-    def __init__(self, elevation: np.ndarray, cover: np.ndarray, zone: np.ndarray, line: np.ndarray, first: np.ndarray, length: np.ndarray):
+    Block ``i`` of ``zone[i]`` is ``length[i]`` pixels from ``first[i]`` in ``height[i]`` lines from ``line[i]``. Tiles
+    of the same pixels hand each other what depends on these alone in ``shared``.
+    """
+
+    def __init__(
+        self, elevation: np.ndarray, cover: np.ndarray, zone: np.ndarray, line: np.ndarray, first: np.ndarray, length: np.ndarray,
+        height: np.ndarray | None = None, shared: dict | None = None,
+    ):
         self.elevation, self.cover = elevation, cover
         self.zone, self.line, self.first, self.length = zone, line, first, length
+        self.height = np.ones_like(length) if height is None else height
         self.zones = int(zone.max()) + 1 if len(zone) else 0
+        self.shared = {} if shared is None else shared
 
     def counts(self, mask: np.ndarray) -> np.ndarray:
-        """Pixels of each run that ``mask`` holds, by prefix counts."""
-        upto = np.zeros((mask.shape[0], mask.shape[1] + 1), dtype=np.int64)
-        np.cumsum(mask, axis=1, out=upto[:, 1:])
-        return upto[self.line, self.first + self.length] - upto[self.line, self.first]
+        """Pixels of each block that ``mask`` holds, by prefix counts."""
+        return self._counted(_prefix(mask))
+
+    def _counted(self, upto: np.ndarray) -> np.ndarray:
+        top, bottom, left, right = self.line, self.line + self.height, self.first, self.first + self.length
+        return upto[bottom, right] - upto[top, right] - upto[bottom, left] + upto[top, left]
 
     def extremes(self, values: np.ndarray, pick: np.ufunc) -> np.ndarray:
-        """``np.minimum`` or ``np.maximum`` over each run, by a sparse table."""
-        level = np.log2(np.maximum(self.length, 1)).astype(np.int64)
-        table = np.empty((int(level.max(initial=0)) + 1, *values.shape), dtype=values.dtype)
-        table[0] = values
-        for k in range(1, len(table)):
-            step = 1 << (k - 1)
-            table[k] = table[k - 1]
-            pick(table[k - 1][:, :-step], table[k - 1][:, step:], out=table[k][:, :-step])
-        last = self.first + self.length - (1 << level)
-        return pick(table[level, self.line, self.first], table[level, self.line, last])
+        """``np.minimum`` or ``np.maximum`` over each block, by sparse tables of as many lines and columns as powers of two."""
+        tall, wide = (np.log2(np.maximum(n, 1)).astype(np.int64) for n in (self.height, self.length))
+        out = np.empty(len(self.line), dtype=values.dtype)
+        rows = values
+        for k in range(int(tall.max(initial=-1)) + 1):
+            level = np.flatnonzero(tall == k)
+            table = rows
+            for m in range(int(wide[level].max(initial=-1)) + 1):
+                own = level[wide[level] == m]
+                if len(own):
+                    top, left = self.line[own], self.first[own]
+                    bottom, right = top + self.height[own] - (1 << k), left + self.length[own] - (1 << m)
+                    out[own] = pick(pick(table[top, left], table[top, right]), pick(table[bottom, left], table[bottom, right]))
+                table = np.concatenate([pick(table[:, : -(1 << m)], table[:, 1 << m :]), table[:, -(1 << m) :]], axis=1)
+            rows = np.concatenate([pick(rows[: -(1 << k)], rows[1 << k :]), rows[-(1 << k) :]])
+        return out
 
     def by_zone(self, pick: np.ufunc, values: np.ndarray, start: float) -> np.ndarray:
-        """Reduce the values of the runs to one for each zone."""
+        """Reduce the values of the blocks to one for each zone."""
         out = np.full(self.zones, start, dtype=values.dtype)
         pick.at(out, self.zone, values)
         return out
 
-    @cached_property
+    @property
     def classes(self) -> np.ndarray:
-        found = np.unique(self.cover)
-        return found[found != MISSING]
+        if "classes" not in self.shared:
+            found = np.unique(self.cover)
+            self.shared["classes"] = found[found != MISSING]
+        return self.shared["classes"]
 
     def class_counts(self) -> States:
         """(zone, class, pixels) of every class that occurs in a zone."""
         zones, classes, pixels = [], [], []
+        kept = self.shared if len(self.classes) <= KEPT else {}
         for c in self.classes:
-            total = self.by_zone(np.add, self.counts(self.cover == c), 0)
+            upto = kept[int(c)] if int(c) in kept else kept.setdefault(int(c), _prefix(self.cover == c))
+            total = self.by_zone(np.add, self._counted(upto), 0)
+            if kept is not self.shared:
+                kept.clear()
             some = np.flatnonzero(total)
             zones.append(some)
             classes.append(np.full(len(some), c))
@@ -71,17 +94,29 @@ class Tile:
 
     def pixels(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(zone, elevation, cover) of the pixels of whole runs, about ``PIECE`` pixels at a time."""
-        upto = np.cumsum(self.length)
+        own = np.repeat(np.arange(len(self.line)), self.height)
+        row = self.line[own] + np.arange(len(own)) - np.repeat(np.cumsum(self.height) - self.height, self.height)
+        width = self.elevation.shape[1]
+        spot, length, zone = row * width + self.first[own], self.length[own], self.zone[own]
+        elevation, cover = self.elevation.ravel(), self.cover.ravel()
+        upto = np.cumsum(length)
         a = 0
         while a < len(upto):
             b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + PIECE, side="right")))
-            n = self.length[a:b]
-            column = np.repeat(self.first[a:b] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            line = np.repeat(self.line[a:b], n)
-            yield np.repeat(self.zone[a:b], n), self.elevation[line, column], self.cover[line, column]
+            n = length[a:b]
+            at = np.repeat(spot[a:b] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            yield np.repeat(zone[a:b], n), elevation[at], cover[at]
             a = b
 
 
+def _prefix(mask: np.ndarray) -> np.ndarray:
+    """Pixels that ``mask`` holds above and left of each corner."""
+    upto = np.zeros((mask.shape[0] + 1, mask.shape[1] + 1), dtype=np.int64)
+    np.cumsum(mask, axis=1, out=upto[1:, 1:])
+    np.cumsum(upto[1:], axis=0, out=upto[1:])
+    return upto
+
+
 def summed(zone: np.ndarray, by: np.ndarray, values: np.ndarray) -> States:
     """Add up ``values`` by zone and ``by``, in order of both."""
     order = np.lexsort((by, zone))
@@ -97,11 +132,13 @@ class Reducer:
 
     ``partial`` makes state rows from a tile, any number for a zone; ``merge`` shrinks the state rows of any zones and may
     run any number of times, first where they arise; ``finish`` makes the result rows of zones whose state is whole.
-    ``state`` and ``result`` name the columns and their types.
+    ``state`` and ``result`` name the columns and their types. Zones come to ``partial`` whole and together up to
+    ``pixels_at_once`` pixels, which bounds states that grow with pixels; None where they do not.
     """
 
     state: Mapping[str, str]
     result: Mapping[str, str]
+    pixels_at_once: int | None = 1 << 24
 
     def partial(self, tile: Tile) -> States:
         raise NotImplementedError
@@ -118,6 +155,7 @@ class Statistics(Reducer):
 
     state = {"lo": "float", "hi": "float", "forest": "long", "total": "long"}
     result = {"min_elev": "int", "max_elev": "int", "forest_pix": "long", "total_pix": "long"}
+    pixels_at_once = None
 
     def partial(self, tile: Tile) -> States:
         missing = np.isnan(tile.elevation)
@@ -151,6 +189,7 @@ class Histogram(Reducer):
 
     state = {"cls": "long", "pixels": "long"}
     result = {"cls": "int", "pixels": "long"}
+    pixels_at_once = None
 
     def partial(self, tile: Tile) -> States:
         return tile.class_counts()
@@ -197,6 +236,7 @@ class Quantiles(Reducer):
     """
 
     state = {"band": "int", "cells": "binary"}
+    pixels_at_once = 1 << 22
 
     def __init__(self, quantiles: Mapping[str, float]):
         self.quantiles = dict(quantiles)
@@ -230,7 +270,7 @@ class Quantiles(Reducer):
         out = {name: np.full(len(zones), np.nan) for name in self.quantiles}
         heights = state["band"] == 0
         at, value, count = unpacked(np.searchsorted(zones, zone[heights]), state["cells"][heights])
-        order = np.argsort(sort_keys(at, value))
+        order = np.argsort(sort_keys(at, value), kind="stable")  # cells come in sorted pieces
         at, value, count = at[order], value[order], count[order]
         if len(at):
             upto = np.cumsum(count)

@@ -267,6 +267,32 @@ def test_reducers_of_nothing(spark, pixels):
         assert zonal.reduce_zones(far.where("false"), table, grid, ["k"], reducer).count() == 0
 
 
+def test_zones_in_one_window_send_no_states(spark, pixels, monkeypatch):
+    """A rectangle is one block whatever its height, and only zones that leave their window make states."""
+    monkeypatch.setattr(zonal, "TILE_LINES", 25)  # tiles of 25 lines and one strip
+    grid, table, heights, _ = pixels
+    boxes = {1: (3, 4, 40, 44), 2: (10, 20, 30, 25), 3: (5, 5, 100, 9), None: (60, 60, 2, 2)}
+    rows = [(k, as_geom([[[(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)]]])) for k, (x, y, w, h) in boxes.items()]
+    # one key in two far places; a shape of runs over a strip that the raster lacks
+    rows += [(4, as_geom(square(0, 0, 5))), (4, as_geom(square(120, 130, 5))), (5, as_geom([[[(20, 0), (60, 0), (20, 40), (20, 0)]]]))]
+    df = spark.createDataFrame(rows, f"k long, geom {KIND}")
+    placed = zonal.pixel_blocks(zonal.pixel_boxes(df, grid, ["k"]), grid, ["k"])
+    assert {r.k: r["count"] for r in placed.groupBy("k").count().collect()} == {1: 1, 2: 1, 3: 1, None: 1, 4: 2, 5: 39}
+
+    got = {r.k: r for r in zonal.reduce_zones(df, table, grid, ["k"], reducers.Quantiles({"m": 0.5})).collect()}
+    stats = {r.k: r for r in parcel_statistics(df, table, grid, ["k"]).collect()}
+    there = heights.copy()
+    there[9, 25:50] = -9999.0
+    for k, (x, y, w, h) in boxes.items():
+        own = there[y : min(y + h, 150), x : min(x + w, 150)]
+        own = own[own != -9999.0]
+        assert got[k].m == np.quantile(own, 0.5) and (stats[k].min_elev, stats[k].max_elev) == (int(own.min()), int(own.max()))
+    both = np.concatenate([there[:5, :5].ravel(), there[130:135, 120:125].ravel()])
+    assert got[4].m == np.quantile(both[both != -9999.0], 0.5)
+    slope = np.concatenate([there[j, 20 : 59 - j] for j in range(39)])
+    assert got[5].m == pytest.approx(np.quantile(slope[slope != -9999.0], 0.5))
+
+
 def test_joins_on_cells_are_dealt_over_tasks(spark):
     """Small derived sides make many pairs: they are not broadcast, and pairs of rectangles stay out of Python."""
     a = frame(spark, [(i, as_geom(square(7 * i, 0, 10))) for i in range(6)])
