@@ -334,3 +334,37 @@ def test_inner_rectangles_do_not_reach_the_overlay(monkeypatch):
     # the same box drawn from another corner, and a hole, which is no rectangle of its own
     again = np.roll(box(0, 0, 5, 5), 1, axis=0)
     assert len(ov._outer([box(0, 0, 5, 5), again])) == 1 and len(ov._outer([box(0, 0, 5, 5), box(1, 1, 2, 2, True)])) == 2
+
+
+def test_rectangles_of_many_rows_are_united_together(monkeypatch):
+    """Near copies, steps, frames around a hole and boxes that meet in a point: the outlines that the kernel makes row by row."""
+    import pyarrow as pa
+    from lotweave.functions import overlay as ov
+    from lotweave.operators import dissolve as ds
+
+    rng = random.Random(5)
+
+    def box(x0, y0, x1, y1):
+        xy = np.array([(x0, y0), (x1, y0), (x1, y1), (x0, y1)], dtype=float)
+        return np.concatenate([xy, np.roll(xy, -1, axis=0)], axis=1)
+
+    def near():
+        x, y = rng.randrange(-13700000, -13600000), rng.randrange(5300000, 5400000)
+        jolt = lambda v, k: v + 10.0 ** -(3 + k % 4) * rng.uniform(-1, 1)
+        return [box(jolt(x, k), jolt(y, k), jolt(x + 50, k), jolt(y + 90, k)) for k in range(6)]
+
+    def loose():
+        spots = [(rng.randrange(6), rng.randrange(6)) for _ in range(rng.randrange(18))]
+        return [box(x, y, x + rng.randrange(1, 5), y + rng.randrange(1, 5)) for x, y in spots]
+
+    rows = [near() for _ in range(80)] + [loose() for _ in range(200)]
+    rows += [[box(0, 0, 1e-8, 1)], [box(0, 0, 1, 1), box(1, 1, 2, 2)], [box(0, 0, 1, 1), np.array([[0, 0, 3, 0], [3, 0, 0, 3], [0, 3, 0, 0]], float)]]
+    want = [ov.union_of(row) for row in rows]
+    calls = []
+    real = ov.union_of
+    monkeypatch.setattr(ov, "union_of", lambda shapes: calls.append(len(shapes)) or real(shapes))
+    column = pa.array([[s.ravel().tolist() for s in row] for row in rows], pa.list_(pa.list_(pa.float64())))
+    assert ds._united(column).to_pylist() == want
+    assert ds._united(column.slice(40, 100)).to_pylist() == want[40:140]
+    calls.clear()
+    assert ds._united(column.slice(0, 80)).to_pylist() == want[:80] and not calls
