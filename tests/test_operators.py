@@ -368,3 +368,36 @@ def test_rectangles_of_many_rows_are_united_together(monkeypatch):
     assert ds._united(column.slice(40, 100)).to_pylist() == want[40:140]
     calls.clear()
     assert ds._united(column.slice(0, 80)).to_pylist() == want[:80] and not calls
+
+
+def test_no_task_ranks_a_whole_layer(spark):
+    """Ranks by groups of successive keys: null keys and layers, repeated keys, keys below zero."""
+    from lotweave.plans import derived as d
+
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, *range(-40, 200)])) for _ in range(600)]
+    df = spark.createDataFrame(rows, "layer string, id long").repartition(7)
+    got = d.numbered(df, "layer", "id", 16)
+    (ranked,) = [line for line in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window [row_number()" in line]
+    assert "_range" in ranked.split("windowspecdefinition(")[1].split(" ASC")[0]
+    for layer in ("a", "b", None):
+        ids = sorted((r.place, r.id) for r in got.collect() if r.layer == layer)
+        assert [p for p, _ in ids] == list(range(sum(x == layer for x, _ in rows)))
+        assert [i for _, i in ids] == sorted((i for x, i in rows if x == layer), key=lambda i: (i is not None, i or 0))
+
+
+def test_geometry_tasks_grow_in_number(spark):
+    """Tasks over parcels hold a bounded number of rows, whatever the cores."""
+    from lotweave.plans import derived as d
+
+    rows = spark.range(10)
+    assert d.spread(rows, "id", 100 * d.TASK_ROWS).rdd.getNumPartitions() == 100
+    assert d.spread(rows, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_cleaned_rows_are_read_from_one_checkpoint(spark):
+    from lotweave.plans.queries import REGISTRY
+
+    for name in ("duplicate_keys", "conflict_suffix"):
+        plan = REGISTRY[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "parquet" not in plan and "LogicalRDD" in plan
