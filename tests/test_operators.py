@@ -401,3 +401,15 @@ def test_cleaned_rows_are_read_from_one_checkpoint(spark):
     for name in ("duplicate_keys", "conflict_suffix"):
         plan = REGISTRY[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert "parquet" not in plan and "LogicalRDD" in plan
+
+
+def test_geometry_text_is_read_once_a_row(spark):
+    from lotweave.sources import features
+
+    rows = spark.createDataFrame([(1, "POLYGON((0 0,4 0,4 4,0 0))"), (2, " srid=3857;multipolygon (((0 0, 1e1 0, 5 5, 0 0)))"), (3, "POINT(1 1)"), (4, None)], "id int, wkt string")
+    loaded, bad = features.with_geometry(rows, "wkt", "wkt", 3857, 2913)
+    plan = loaded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and plan.count("upper(") == 1
+    flat, _ = features.with_geometry(rows, "wkt", "wkt")
+    assert {r.id: r.a for r in flat.select("id", g.area(F.col("geom")).alias("a")).collect()} == {1: 8.0, 2: 25.0}
+    assert {(r.id, r.reason) for r in bad.collect()} == {(3, "unreadable geometry"), (4, "missing geometry")}
