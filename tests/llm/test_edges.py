@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and further columns."""
 
+import random
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -397,3 +399,39 @@ def test_every_language_has_a_model_and_a_band(spark):
     assert counted == {name: sum(len(t) + 1 for _, t, lang in rows if lang == name) for name in names}
     judged = quality.judge(docs).select("lang", "model", "low", "high").distinct().collect()
     assert len({r.model for r in judged}) == len(judged) == len(names) and all(r.low < r.high for r in judged)
+
+
+def _read_back(codes):
+    symbols, out, i = (codes & 63).tolist()[:-1], [], 0
+    while i < len(symbols):
+        first, rest = symbols[i], symbols[i + 1 : i + 4]
+        if first < quality.PAIRS:
+            out.append(quality.PLAIN[first])
+            i += 1
+        elif first < quality.LONG:
+            out.append(chr(quality.BLOCKS[first - quality.PAIRS] << 6 | rest[0]))
+            i += 2
+        else:
+            out.append(chr(first - quality.LONG << 18 | rest[0] << 12 | rest[1] << 6 | rest[2]))
+            i += 4
+    return "".join(out)
+
+
+def test_every_character_is_spelled():
+    """No two characters share a spelling: each text can be read back from its trigrams."""
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    random.Random(5).shuffle(points)
+    for text in ("".join(map(chr, points)), "A", "é\n", "“Ж”", "中文 \U0001f600x"):
+        codes = quality.trigram_codes(text)
+        assert codes.min() >= 0 and codes.max() < quality.CLASSES**3 and _read_back(codes) == text
+
+
+def test_characters_apart_by_28_are_not_the_same(spark):
+    """A text in letters its language does not use is told from one in those it does."""
+    word = "".join(map(chr, range(0x430, 0x44C)))
+    texts = [" ".join(word[k % 20 : k % 20 + 5] for k in range(i, i + 60)) for i in range(40)]
+    other = "".join(chr(ord(c) + 28 * 7) if c != " " else c for c in texts[0])
+    docs = spark.createDataFrame([*enumerate([*texts, other])], "doc_id long, text string").selectExpr("*", "'ru' AS lang")
+    rows = {r.doc_id: r for r in quality.judge(docs, max_repeat_percent=100).collect()}
+    assert rows[0].kept and not rows[40].base_failed and not rows[40].kept
+    assert rows[40].log_perplexity > rows[0].log_perplexity + 0.5
