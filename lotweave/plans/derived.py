@@ -72,7 +72,7 @@ def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
                  WHEN {plain} AND s = 1 THEN 54 WHEN m = 15 THEN 100 ELSE 20 + (id % 37) * 10 END AS h""",
     )
     return _with_geom(
-        spread(sized, "id", orders.count()).selectExpr(
+        spread(sized, "id", base.count()).selectExpr(
             "id", "county", "county_fips", "orig_key", "landuse_cd", "x0", "y0", "x0 + w AS x1", "y0 + h AS y1"
         )
     )

@@ -395,6 +395,22 @@ def test_geometry_tasks_grow_in_number(spark):
     assert d.spread(rows, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
 
 
+def test_geometry_tasks_are_bounded_where_customers_repeat(spark, tmp_path, monkeypatch):
+    """Each order is a parcel for every row of its customer: tasks are dealt by parcels, not by orders."""
+    from lotweave.plans import derived as d
+
+    tables = {
+        "orders": spark.range(1, 101).selectExpr("id AS o_orderkey", "id % 2 AS o_custkey"),
+        "customer": spark.range(100).selectExpr("id % 2 AS c_custkey", "1L AS c_nationkey"),
+        "nation": spark.range(3).selectExpr("id AS n_nationkey", "'n' AS n_name"),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(str(tmp_path / f"{name}.parquet"))
+    monkeypatch.setattr(d, "TASK_ROWS", 100)
+    got = d.parcels(spark, str(tmp_path))
+    assert got.count() == 5000 and got.rdd.getNumPartitions() == 50
+
+
 def test_cleaned_rows_are_read_from_one_checkpoint(spark):
     from lotweave.plans.queries import REGISTRY
 
