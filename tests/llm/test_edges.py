@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lotweave.llm import decontaminate, htmltext, jaccard, linededup, lmscore, packing, quality, suffixdedup, toxicity, urlrules
@@ -53,6 +54,26 @@ def test_toxicity(odd, none, labels):
     assert {r.predicted for r in toxicity.score(odd, labels.where("false")).collect()} == {0}
 
 
+def test_toxicity_learns_from_every_label(spark):
+    """The toxic documents are those whose ids have the highest hashes, behind more than 16,384 others."""
+    ids = spark.range(30_000).where(~toxicity.held_out(F.col("id"))).select(F.col("id").alias("doc_id"), F.xxhash64("id").alias("h"))
+    last = [r.doc_id for r in ids.orderBy("h").collect()][16_384:]
+    assert len(last) > 1000
+    toxic = F.col("doc_id").isin(last[::2])
+    text = F.when(toxic, "plain vile words").otherwise("plain kind words")
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id")).select("doc_id", text.alias("text"))
+    rows = toxicity.score(docs, docs.select("doc_id", toxic.cast("int").alias("toxic"))).collect()
+    assert {r.doc_id for r in rows if r.predicted} == set(last[::2])
+
+
+def test_places_of_keys():
+    """Keys that share a slot are all found, and others are not."""
+    keys = np.random.default_rng(3).integers(0, 1 << 63, 5000).astype(np.uint64)
+    places = tk.Places(keys)
+    assert places.find(keys).tolist() == list(range(5000)) and (places.find(keys + np.uint64(1)) == -1).all()
+    assert tk.Places(keys[:0]).find(keys).max() == -1
+
+
 def test_packing(odd, none):
     rows = packing.pack(odd, **vocabulary()).collect()
     assert len({r.doc_id for r in rows}) == len({r.doc_id for r in odd.select("doc_id").collect()})
