@@ -447,6 +447,17 @@ def test_every_character_is_spelled():
         assert codes.min() >= 0 and codes.max() < quality.CLASSES**3 and _read_back(codes) == text
 
 
+def test_a_character_follows_the_two_before_it():
+    """In every script the character before the last one tells histories apart, and a spelling goes on from its whole beginning."""
+    for a, b in (("xyz", "wyz"), ("ABC", "DBC"), ("Жит", "Кит"), ("中国人", "美国人"), ("\U0001f600\U0001f601x", "\U0001f602\U0001f601x")):
+        one, two = quality.trigram_codes(a)[:-1], quality.trigram_codes(b)[:-1]
+        n = len(quality.trigram_codes(a[2])) - 1
+        assert not set((one[-n:] >> 6).tolist()) & set((two[-n:] >> 6).tolist())
+    # the same third and fourth symbol after different second ones
+    one, two = quality.trigram_codes("一"), quality.trigram_codes(chr(ord("一") + (1 << 12)))
+    assert (one[2:4] & 63).tolist() == (two[2:4] & 63).tolist() and not set((one[3:4] >> 6).tolist()) & set((two[3:4] >> 6).tolist())
+
+
 def test_characters_apart_by_28_are_not_the_same(spark):
     """A text in letters its language does not use is told from one in those it does."""
     word = "".join(map(chr, range(0x430, 0x44C)))
