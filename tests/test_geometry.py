@@ -228,3 +228,40 @@ def test_unusable(spark):
     rows = frame(spark, [(i, as_geom(s)) for i, (s, _) in enumerate(cases)] + [(len(cases), None)])
     got = [r.v for r in rows.orderBy("id").select(g.unusable(F.col("geom")).alias("v")).collect()]
     assert got == [reason for _, reason in cases] + [None]
+
+
+def test_shapes_along_the_axes_are_overlaid_together(monkeypatch):
+    """The same outlines as by the kernel, without a call of it a row: frames, parts that meet in a point, copies, holes, open rings."""
+    import numpy as np
+
+    from lotweave.functions import overlay as ov
+    from lotweave.functions import rectilinear
+
+    random = np.random.default_rng(7)
+
+    def ring(*corners):
+        return np.array([[*a, *b] for a, b in zip(corners, [*corners[1:], corners[0]])], dtype=float)
+
+    def box(x0, y0, x1, y1):
+        return ring((x0, y0), (x1, y0), (x1, y1), (x0, y1))
+
+    def shape():
+        x, y = random.integers(0, 6, 2) * 1.5
+        w, h = random.integers(1, 5, 2) * 0.75
+        frame = [box(x, y, x + 4 * w, y + 4 * h), box(x + w, y + h, x + 3 * w, y + 3 * h)[::-1][:, [2, 3, 0, 1]]]
+        corners = [box(x, y, x + w, y + h), box(x + w, y + h, x + 2 * w, y + 2 * h)]
+        bent = [ring((x, y), (x + 4 * w, y), (x + 4 * w, y + 2 * h), (x + 2 * w, y + 2 * h), (x + 2 * w, y + 4 * h), (x, y + 4 * h))]
+        return np.concatenate([frame, corners, bent][random.integers(3)])
+
+    for rule, layers in ((ov.both_rule, 2), (ov.union_rule, 1), (ov.even_odd_rule, 1)):
+        rows = [[np.concatenate([shape() for _ in range(1 + i % 3)]) for _ in range(layers)] for i in range(150)]
+        rows.append([box(0, 0, 1, 1)[:3]] * layers)  # not closed
+        rows.append([ring((0, 0), (2, 0), (1, 1))] * layers)  # not along the axes
+        segs = np.concatenate([s for row in rows for s in row])
+        place = np.repeat(np.arange(len(rows)), [sum(map(len, row)) for row in rows])
+        layer = np.concatenate([np.full(len(s), k) for row in rows for k, s in enumerate(row)])
+        want = [ov.overlay(row, rule) for row in rows[:150]]
+        with monkeypatch.context() as patch:
+            patch.setattr(ov, "_overlay", None)
+            got = rectilinear.overlays(segs, place, layer, len(rows), layers, rule)
+        assert [got[i] for i in range(150)] == want and set(got) == set(range(150))
