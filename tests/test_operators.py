@@ -429,3 +429,17 @@ def test_geometry_text_is_read_once_a_row(spark):
     flat, _ = features.with_geometry(rows, "wkt", "wkt")
     assert {r.id: r.a for r in flat.select("id", g.area(F.col("geom")).alias("a")).collect()} == {1: 8.0, 2: 25.0}
     assert {(r.id, r.reason) for r in bad.collect()} == {(3, "unreadable geometry"), (4, "missing geometry")}
+
+
+def test_scattered_outlines_are_cut_where_they_lie(spark, monkeypatch):
+    """An outline of two parts far apart is cut in the cells of its parts, not in all between them."""
+    from lotweave.functions import geometry as geo
+    from lotweave.operators import dissolve as dz
+
+    parts = F.concat(geo.rectangle(F.lit(10.0), F.lit(10.0), F.lit(30.0), F.lit(20.0)), geo.rectangle(F.lit(90010.0), F.lit(70010.0), F.lit(90020.0), F.lit(70040.0)))
+    rows = spark.range(3).select(F.lit(1).alias("k"), parts.alias("geom"))
+    covered, real = [], dz.cover_cells
+    monkeypatch.setattr(dz, "cover_cells", lambda *given: covered.append(real(*given)) or covered[-1])
+    pieces = dz.cell_pieces(rows, ["k"]).select("cx", "cy", geo.area(F.col("geom")).alias("area")).collect()
+    assert covered[0].count() == 6
+    assert sorted((r.cx, r.cy, r.area) for r in pieces) == [(0, 0, 200.0), (45, 35, 300.0)]
